@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing
+from . import fingerprint, language, neardup, neighbours, packing, secrets
 from .common import documents
 
 
@@ -18,7 +18,35 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizer_path())
 
 
-QUERIES = {"op5_packing": op5_packing}
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.linked(documents(spark, sf_dir))
 
-#: None of the contracts can be written in SQL without user code; tests hold them against brute force.
+
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.scan(documents(spark, sf_dir)))
+
+
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare_edited(documents(spark, sf_dir))
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return language.identify(docs, language.fit(docs))
+
+
+QUERIES = {
+    "op2_minhash": op2_minhash,
+    "op4_neighbours": op4_neighbours,
+    "op5_packing": op5_packing,
+    "op6_secrets": op6_secrets,
+    "op7_fingerprints": op7_fingerprints,
+    "op9_language": op9_language,
+}
+
+#: None of these contracts can be written in SQL without user code; tests hold them against brute force.
 ORACLES: dict[str, str] = {}
