@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprint, language, neardup, neighbours, packing, secrets
+from . import fingerprint, htmltext, language, neardup, neighbours, packing, secrets
 from .common import documents
 
 
@@ -34,6 +34,10 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_edited(documents(spark, sf_dir))
 
 
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"), htmltext.trained())
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return language.identify(docs, language.fit(docs))
@@ -45,6 +49,7 @@ QUERIES = {
     "op5_packing": op5_packing,
     "op6_secrets": op6_secrets,
     "op7_fingerprints": op7_fingerprints,
+    "op8_html": op8_html,
     "op9_language": op9_language,
 }
 
