@@ -1,8 +1,66 @@
-"""The corpus pipeline: stages over ``documents``, each written as Parquet and read again."""
+"""The corpus pipeline: five stages over ``documents``, each written as Parquet and read again.
 
-STAGES = []
+1. language: documents in which no learned language is found (no letters, or no majority) go;
+2. near-dedup: of each group of linked near-duplicates the document with the least id stays;
+3. secrets: what the scan finds is replaced in the text by its kind;
+4. mixing: the rows are put in the order of the Pfair schedule of their sources;
+5. packing: the texts become token sequences, one row for each piece.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from stripweave.llm import language, mixing, neardup, packing, secrets
+from stripweave.llm.common import documents, written
+from stripweave.llm.queries import tokenizer_path
+
+#: The least share of the posterior over the learned languages; with two of them the majority.
+LEAST_SCORE = 0.5
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = language.identify(docs, language.fit(docs), keep=True)
+    return found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays; rows that repeat an id are one document."""
+    linked = neardup.linked(docs)
+    gone = linked.where(~F.col("kept")).select("doc_id").distinct()
+    kept = docs.join(gone, "doc_id", "left_anti")
+    again = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    once = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.join(again, "doc_id", "left_anti").unionByName(once).select(*docs.columns)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return secrets.redact(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.in_order(mixing.mix(docs))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs, tokenizer_path())
+
+
+STAGES = [
+    ("language", identify_language),
+    ("near_dedup", drop_near_duplicates),
+    ("secrets", redact_secrets),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
+]
+
+#: Language models, MinHash and byte-level BPE can't be written in SQL; tests use brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name=f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import fingerprint, htmltext, language, neardup, neighbours, packing, secrets
+from . import fingerprint, htmltext, language, mixing, neardup, neighbours, packing, pii, repeats, secrets
 from .common import documents
 
 
@@ -18,10 +19,18 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), tokenizer_path())
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detect(documents(spark, sf_dir))
+
+
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.linked(documents(spark, sf_dir))
 
 
+def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.report(documents(spark, sf_dir))
+
+
 def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
@@ -43,14 +52,22 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, language.fit(docs))
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(documents(spark, sf_dir).select("doc_id", "source"))
+    return mixed.select("doc_id", "source", *(F.col(c).alias(c[4:]) for c in mixed.columns if c.startswith("mix_")))
+
+
 QUERIES = {
+    "op1_pii": op1_pii,
     "op2_minhash": op2_minhash,
+    "op3_repeats": op3_repeats,
     "op4_neighbours": op4_neighbours,
     "op5_packing": op5_packing,
     "op6_secrets": op6_secrets,
     "op7_fingerprints": op7_fingerprints,
     "op8_html": op8_html,
     "op9_language": op9_language,
+    "op10_mixing": op10_mixing,
 }
 
 #: None of these contracts can be written in SQL without user code; tests hold them against brute force.
