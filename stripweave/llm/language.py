@@ -59,7 +59,7 @@ class Model:
     def _logs(self, counts: dict[str, Counter], keys) -> tuple[dict[str, int], np.ndarray]:
         """An index of the keys, and their rows of log frequencies relative to the mean over the languages."""
         keys = sorted(keys)
-        table = np.array([[counts[k][w] for k in self.langs] for w in keys], float).reshape(len(keys), -1) + 0.5
+        table = np.array([[counts[k][w] for k in self.langs] for w in keys], float).reshape(len(keys), len(self.langs)) + 0.5
         table = np.log(table / np.array([sum(counts[k].values()) + 0.5 * len(keys) for k in self.langs]))
         return {w: i for i, w in enumerate(keys)}, table - table.mean(axis=1, keepdims=True)
 
