@@ -61,7 +61,7 @@ class Model:
         keys = sorted(keys)
         table = np.array([[counts[k][w] for k in self.langs] for w in keys], float).reshape(len(keys), len(self.langs)) + 0.5
         table = np.log(table / np.array([sum(counts[k].values()) + 0.5 * len(keys) for k in self.langs]))
-        return {w: i for i, w in enumerate(keys)}, table - table.mean(axis=1, keepdims=True)
+        return {w: i for i, w in enumerate(keys)}, table - table.sum(axis=1, keepdims=True) / max(1, len(self.langs))
 
     def unseen(self, word: str) -> np.ndarray:
         """Backoff over a word that isn't known: at each position the longest known n-gram.

@@ -202,7 +202,7 @@ def pack(docs: DataFrame, tokenizer: str, *, window: int = WINDOW) -> DataFrame:
     runs = plan(counts, window)
     order = "partition by length order by part rows between unbounded preceding and 1 preceding"
     shifted = by_part.selectExpr("length", "part", f"coalesce(sum(n) over ({order}), 0) as before")
-    numbered = cut.join(shifted, ["length", "part"]).withColumn("number", F.col("nth") + F.col("before"))
+    numbered = cut.join(shifted.hint("merge"), ["length", "part"]).withColumn("number", F.col("nth") + F.col("before"))
     # Each piece finds its run among those of its length. The table depends on `window` alone, not on
     # the corpus: at most one run for each pair of a length and a capacity, in practice some thousands.
     by_length: dict[int, list[list[int]]] = {}
