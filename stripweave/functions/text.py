@@ -198,7 +198,7 @@ def clean_html(text: Column) -> Column:
 
 def section(html: Column, chars: int = 600) -> Column:
     """The cleaned text between the headings of sections 3 and 4 of a leaflet."""
-    found = F.regexp_extract(html, r"(?is)3\.\s*FORMA FARMAC[ÉE]UTICA(.*?)4\.\s*DATOS CL[ÍI]NICOS", 1)
+    found = F.regexp_extract(html, r"(?isu)3\.\s*FORMA FARMAC[ÉE]UTICA(.*?)4\.\s*DATOS CL[ÍI]NICOS", 1)
     return F.left(clean_html(found), F.lit(chars))
 
 
