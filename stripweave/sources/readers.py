@@ -106,6 +106,6 @@ def boxes_of(payloads: DataFrame) -> DataFrame:
 
     texts = F.from_json(payload_field(F.col("payload"), "rec_texts"), "array<string>")
     scores = F.from_json(payload_field(F.col("payload"), "rec_scores"), "array<double>")
-    polys = F.from_json(payload_field(F.col("payload"), "rec_polys"), "array<array<array<double>>>")
+    polys = F.coalesce(F.from_json(payload_field(F.col("payload"), "rec_polys"), "array<array<array<double>>>"), F.expr("cast(array() as array<array<array<double>>>)"))
     rows = payloads.select("image_id", F.posexplode(F.arrays_zip(texts.alias("text"), scores.alias("score"), polys.alias("poly"))).alias("box_no", "box"))
     return rows.where("box.text is not null and box.score is not null").select("image_id", F.col("box_no").cast("long").alias("box_no"), "box.text", "box.score", "box.poly")

@@ -14,10 +14,11 @@ from ..config import DEFAULTS, Settings
 from ..operators.tracking import ASSIGNED, Tracker
 
 
-def tracked(observations: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """``tracking.track`` for a stream: the open tracks of each side are the state, ended by a timeout.
+def tracked(observations: DataFrame, settings: Settings = DEFAULTS, *, idle_ms: int | None = None) -> DataFrame:
+    """``tracking.track`` for a stream: the open tracks of each side are the state.
 
-    Frames of one recording have to arrive in order, as its reader emits them; a batch may hold several.
+    With ``idle_ms`` a recording that is silent so long ends, and its state goes. Frames of one recording
+    have to arrive in order, as its reader emits them; a batch may hold several.
     """
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -29,10 +30,12 @@ def tracked(observations: DataFrame, settings: Settings = DEFAULTS) -> DataFrame
         pdf = pd.concat(list(batches)).sort_values(["frame_index", "bag_index_in_frame", "bag_id"])
         rows = [(*key, *r) for _, f in pdf.groupby("frame_index", sort=True) for r in tracker.update(f.to_dict("records"))]
         state.update((pickle.dumps(tracker.tracks),))
-        state.setTimeoutDuration(3_600_000)
+        if idle_ms:
+            state.setTimeoutDuration(idle_ms)
         yield pd.DataFrame(rows, columns=["video", "side", "bag_id", "track_key", "track_match_score", "is_best"])
 
-    return observations.groupBy("video", "side").applyInPandasWithState(step, ASSIGNED, "tracks binary", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if idle_ms else GroupStateTimeout.NoTimeout
+    return observations.groupBy("video", "side").applyInPandasWithState(step, ASSIGNED, "tracks binary", "append", timeout)
 
 
 def first_sightings(pouches: DataFrame, *, time: str = "seen_at", delay: str = "1 hour") -> DataFrame:
