@@ -1,8 +1,9 @@
-"""Substring dedup by line and sentence hashing, with original offsets.
+"""Substring dedup by line and passage hashing, with original offsets.
 
-Units are lines, and the sentences in them (a passage can be set into other text). Each
-unit is normalised and digested; the digests are grouped over the whole corpus, and all
-occurrences but the earliest, by document and place, are removed.
+Units are lines, the sentences in them, and runs of words whose borders the words alone
+decide, as a passage can be set into other text anywhere. Each unit is normalised and
+digested; the digests are grouped over the whole corpus, and all occurrences but the
+earliest, by document and place, are removed.
 """
 
 from __future__ import annotations
@@ -10,7 +11,9 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from hashlib import blake2b
+from zlib import crc32
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +21,10 @@ from pyspark.sql import functions as F
 from .common import slices, written
 
 #: Units of fewer words aren't compared: short ones repeat by chance.
-LINE_WORDS, SENTENCE_WORDS = 5, 8
+LINE_WORDS, SENTENCE_WORDS, RUN_WORDS = 5, 8, 8
+#: A run begins at a word whose hash is the least of so many before and after it: each 11 words or so.
+RADIUS = 5
+WORD = re.compile(r"[^\W_]+")
 LINE = re.compile(r"[^\n]+")
 SENTENCE = re.compile(r"[^\s].*?(?:[.!?]+(?=\s|\Z)|\Z)", re.DOTALL)
 NOT_WORD = re.compile(r"[\W_]+")
@@ -30,7 +36,7 @@ def normal(unit: str) -> str:
 
 
 def units(text: str, line_words: int = LINE_WORDS, sentence_words: int = SENTENCE_WORDS) -> Iterator[tuple[int, int, int, bytes]]:
-    """``(level, start, stop, digest)`` of each line (level 0) and each part of a line (level 1) that is long enough."""
+    """``(level, start, stop, digest)`` of each line (level 0), sentence (1) and run of words (2) that is long enough."""
     for line in LINE.finditer(text):
         whole = normal(line[0])
         n = whole.count(" ") + 1
@@ -46,6 +52,38 @@ def units(text: str, line_words: int = LINE_WORDS, sentence_words: int = SENTENC
                     yield 1, line.start() + part.start(), line.start() + part.end(), _digest(own)
 
 
+def runs(text: str) -> Iterator[tuple[int, int, int, bytes]]:
+    """Runs of words between borders, over the whole text; a run reaches to the next one's first word.
+
+    A border depends on the words within the radius alone, so the same passage has the same inner
+    borders in any text.
+    """
+    found = list(WORD.finditer(text))
+    words = [m[0].lower() for m in found]
+    if len(words) < 2 * RADIUS + 1:
+        return
+    # Pairs of words, as single ones repeat too often to tell places apart; mixed so that no order is left.
+    h = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    h[:-1] = h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:] * np.uint64(0xD6E8FEB86659FD93)
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
+    least = np.lib.stride_tricks.sliding_window_view(h, 2 * RADIUS + 1).min(axis=1)
+    borders = np.flatnonzero(h[RADIUS:-RADIUS] == least) + RADIUS
+    for a, b in zip(borders[:-1].tolist(), borders[1:].tolist()):
+        if b - a >= RUN_WORDS:
+            yield 2, found[a].start(), found[b].start(), _digest(" ".join(words[a:b]))
+
+
+class _Hashes(dict):
+    def __missing__(self, word: str) -> int:
+        value = crc32(word.encode("utf-8", "surrogatepass"))
+        if len(self) < 300_000:
+            self[word] = value
+        return value
+
+
+_HASHES = _Hashes()
+
+
 def _digest(text: str) -> bytes:
     return blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
 
@@ -54,7 +92,7 @@ def unit_table(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, 1, 2 << 20):
-                rows = [(i, *u) for i, text in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist()) for u in units(text or "")]
+                rows = [(i, *u) for i, text in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist()) for u in (*units(text or ""), *runs(text or ""))]
                 if rows:
                     ids, levels, starts, stops, digests = zip(*rows)
                     columns = [pa.array(ids, pa.int64()), pa.array(levels, pa.int32()), pa.array(starts, pa.int64()), pa.array(stops, pa.int64()), pa.array(digests, pa.binary())]
@@ -79,17 +117,18 @@ def repeated(docs: DataFrame) -> DataFrame:
 
 
 def removed(docs: DataFrame) -> DataFrame:
-    """``(doc_id, spans array<struct<start, stop>>)`` of the documents that lose text, with joined spans in order."""
+    """``(doc_id, spans array<struct<start, stop>>)`` of the documents that lose text, with overlapping and touching spans joined, in order."""
     grouped = repeated(docs).groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("found"))
-    empty = F.expr("named_struct('out', cast(array() as array<struct<start: bigint, stop: bigint>>), 'start', cast(-1 as bigint), 'stop', cast(-1 as bigint))")
+    span = lambda start, stop: F.array(F.struct(start.alias("start"), stop.alias("stop")))
+    empty = F.expr("named_struct('out', cast(array() as array<struct<start: bigint, stop: bigint>>), 'start', cast(-2 as bigint), 'stop', cast(-1 as bigint))")
 
     def step(acc, x):
-        # A sentence lies inside its line, so what begins within the open span ends there too.
-        return F.when(x.start < acc.stop, acc).otherwise(F.struct(F.concat(acc.out, F.array(F.struct(x.start.alias("start"), x.stop.alias("stop")))).alias("out"), x.start.alias("start"), x.stop.alias("stop")))
+        wider = F.struct(acc.out.alias("out"), acc.start.alias("start"), F.greatest(acc.stop, x.stop).alias("stop"))
+        done = F.when(acc.stop >= 0, F.concat(acc.out, span(acc.start, acc.stop))).otherwise(acc.out)
+        return F.when(x.start <= acc.stop, wider).otherwise(F.struct(done.alias("out"), x.start.alias("start"), x.stop.alias("stop")))
 
-    # By start, then the longer first.
-    ordered = F.transform(F.array_sort(F.transform("found", lambda x: F.struct(x.start.alias("start"), (-x.stop).alias("back")))), lambda x: F.struct(x.start.alias("start"), (-x.back).alias("stop")))
-    return grouped.select("doc_id", F.aggregate(ordered, empty, step, lambda acc: acc.out).alias("spans"))
+    joined = F.aggregate("found", empty, step, lambda acc: F.concat(acc.out, span(acc.start, acc.stop)))
+    return grouped.select("doc_id", joined.alias("spans"))
 
 
 def report(docs: DataFrame) -> DataFrame:

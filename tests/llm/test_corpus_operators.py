@@ -174,8 +174,9 @@ def test_repeats(spark, awkward):
     assert line in rows[0][1] and line not in cut[1] and passage in cut[1]
     assert found[4].n_removed == 0 and cut[4] == rows[3][1]
     assert line not in cut[2] and passage.split(". ")[1] not in cut[2] and "The." in cut[2]
-    # In row 3 the passage begins a line, and elsewhere not: its first sentence differs as a unit, the others go.
-    assert cut[3].split() == [*passage.split(". ")[0].split()[:-1], passage.split(". ")[0].split()[-1] + ".", "The."]
+    # In row 3 the passage begins a line and elsewhere not, so of its first sentence only inner runs can go.
+    left = cut[3].split()
+    assert left[-1] == "The." and len(left) <= 21 and passage.split(". ")[2].split()[3] not in left
     for i, text in rows:
         spans = [tuple(map(int, s.split(":"))) for s in found[i].spans.split(",") if s]
         keep = [c for k, c in enumerate(text or "") if not any(a <= k < b for a, b in spans)]
@@ -183,6 +184,20 @@ def test_repeats(spark, awkward):
     assert repeats.report(awkward).count() == awkward.count()
 
 
+def test_runs_find_a_passage_in_other_text():
+    r = random.Random(12)
+    missed = 0
+    for _ in range(200):
+        passage = words(r, 55)
+        digests = [{u[3] for u in repeats.runs(f"{words(r, 40)} {passage}, {words(r, 40)}")} for _ in range(2)]
+        missed += not digests[0] & digests[1]
+    assert missed <= 12
+    text = words(r, 300)
+    found = list(repeats.runs(text))
+    assert all(a < b for _, a, b, _ in found) and all(x[2] <= y[1] for x, y in zip(found, found[1:]))
+    assert not list(repeats.runs("a b c")) and not list(repeats.runs(""))
+
+
 # 4. Neighbours
 
 
