@@ -126,7 +126,7 @@ def seam_bins(t):
 @register(
     "sheets_by_seams",
     """WITH two AS (SELECT reading_id, count(*) FILTER (y >= 0.34) > 0 AS apart FROM {lines} GROUP BY 1)
-       SELECT reading_id, seam_side, count(*) AS n, sum(n_items) AS n_items FROM (
+       SELECT reading_id, seam_side, count(*) AS n, CAST(sum(n_items) AS BIGINT) AS n_items FROM (
          SELECT reading_id, CASE WHEN apart THEN CASE WHEN y >= 0.34 THEN 'below' ELSE 'above' END END AS seam_side, greatest(0, (line_no // 2) // 3) AS sheet, count(*) FILTER (contains(line, 'COMPRIMIDO')) AS n_items
          FROM {lines} JOIN two USING (reading_id) GROUP BY 1, 2, 3) GROUP BY 1, 2""",
 )
@@ -154,13 +154,13 @@ def footer_positions(t):
 
 @register(
     "position_groups",
-    """SELECT user_id, group_no, round(avg(y), 6) AS mean_y, CAST(floor(median(y)) AS BIGINT) AS median_y, count(*) AS n FROM (
+    """SELECT user_id, CAST(group_no AS INT) AS group_no, round(avg(y), 6) AS mean_y, CAST(floor(median(y)) AS BIGINT) AS median_y, count(*) AS n FROM (
          SELECT user_id, y, sum(CASE WHEN y - prev > 3 THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY y, event_id ROWS UNBOUNDED PRECEDING) AS group_no
          FROM (SELECT user_id, event_id, value AS y, lag(value) OVER (PARTITION BY user_id ORDER BY value, event_id) AS prev FROM {events})) GROUP BY 1, 2""",
 )
 def position_groups(t):
     rows = sheets.position_groups(t("events").select("user_id", F.col("value").alias("y")), gap=3.0, key="user_id")
-    return rows.select("user_id", F.col("group_no").cast("decimal(38,0)").alias("group_no"), F.round("mean_y", 6).alias("mean_y"), "median_y", "n")
+    return rows.select("user_id", "group_no", F.round("mean_y", 6).alias("mean_y"), "median_y", "n")
 
 
 @register("signature_dedup", "SELECT event_id FROM (SELECT event_id, dense_rank() OVER (PARTITION BY user_id, event_type ORDER BY ts) AS seen FROM {events}) WHERE seen = 1")

@@ -100,7 +100,7 @@ def appearance_best(t):
     return best(t).select("pill_id", "drug", "score")
 
 
-@register("top3_candidates", f"SELECT pill_id, drug, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY pill_id ORDER BY score DESC, drug) AS rank FROM ({BEST})) WHERE rank <= 3")
+@register("top3_candidates", f"SELECT pill_id, drug, score, CAST(rank AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY pill_id ORDER BY score DESC, drug) AS rank FROM ({BEST})) WHERE rank <= 3")
 def top3_candidates(t):
     return identify.ranking(best(t)).select("pill_id", "drug", "score", "rank")
 

@@ -80,10 +80,10 @@ PROJECTIONS = {
                CASE WHEN turn % 3 = 0 THEN concat(CASE WHEN conv_id % 2 = 0 THEN 'lunes ' ELSE 'jueves' END, lpad(CAST(conv_id % 28 + 1 AS STRING), 2, '0'), '/03/26', CASE WHEN conv_id % 5 = 0 THEN 'DESAYL' WHEN conv_id % 5 = 1 THEN ' CENA' ELSE ' COMIDA' END)
                     WHEN turn % 3 = 1 THEN concat(CAST(turn + 1 AS STRING), ' ', upper(role), 'INA ', CAST(10 * (conv_id % 9 + 1) AS STRING), CASE WHEN conv_id % 4 = 0 THEN ' MG' WHEN conv_id % 4 = 1 THEN ' MICROGRAMOS' WHEN conv_id % 4 = 2 THEN ' MO' ELSE ',5 MCG' END, ' COMPRIMIDO')
                     ELSE concat('FARMACIA ', upper(role)) END AS line,
-               0.02 + turn * 0.11 AS y
+               CAST(0.02 + turn * 0.11 AS DOUBLE) AS y
         FROM {conversations}
         UNION ALL
-        SELECT DISTINCT conv_id, -1, concat('PERSONA ', CAST(conv_id AS STRING)), 0.0 FROM {conversations}""",
+        SELECT DISTINCT conv_id, -1, concat('PERSONA ', CAST(conv_id AS STRING)), CAST(0 AS DOUBLE) FROM {conversations}""",
     "documents_short": "SELECT doc_id, left(text, 400) AS head, lang, source FROM {documents}",
 }
 
