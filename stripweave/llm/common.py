@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import shutil
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -54,7 +53,7 @@ def slices(batch: pa.RecordBatch, column: int = 0, limit: int = SLICE_BYTES) ->
 
 
 def map_texts(
-    df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | Iterable[pa.RecordBatch]], schema: str, *, column: int
+    df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, *, column: int
 ) -> DataFrame:
     """Apply ``function`` to Arrow batches of ``df`` cut by the bytes of the text in ``column``."""
 
@@ -102,10 +101,3 @@ def components(edges: DataFrame, *, rounds: int = 60) -> DataFrame:
     return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(
         roots.select("id", F.col("id").alias("component"))
     )
-
-
-def forget(spark: SparkSession) -> None:
-    """Delete a session's own temporary folder (for tests)."""
-    given = spark.sparkContext.getCheckpointDir()
-    if given and "stripweave-" in given:
-        shutil.rmtree(given.removeprefix("file:").split("/stripweave-")[0], ignore_errors=True)
