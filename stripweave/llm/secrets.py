@@ -47,7 +47,7 @@ CLASSES = (
 #: Strings that look random but are public by nature.
 ALLOWED = (
     re.compile(r"[0-9+/_=-]*"),  # numbers, rules of dashes
-    re.compile(r"[A-Za-z]*[/_-]?[A-Za-z]*"),  # words
+    re.compile(r"[A-Za-z]++(?:[/_-][A-Za-z]*+)?+"),  # words
     re.compile(r"(?:[a-z]+|[A-Z][a-z]+|[A-Z]+)(?:[/_-]+(?:[a-z]+|[A-Z][a-z]+|[A-Z]+|[0-9]{1,4}))+"),  # paths, slugs
     re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"),  # UUIDs
 )
@@ -139,7 +139,7 @@ def joined(spans: list[tuple[int, int, int]]) -> str:
 
 
 def scan(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Secrets of each document: ``(doc_id, spans array<struct<kind, start, stop>>, n_base)``, in order.
+    """Secrets of each document: ``(doc_id, spans array<struct<kind, start, stop, base>>)``, in order.
 
     Positions are code points, the end exclusive. A null or empty text has no spans; rows with
     a null or repeated ``doc_id`` are kept, each by itself; other columns are ignored; an empty
