@@ -57,9 +57,9 @@ def unit_normalize(t):
     return rows.select("reading_id", "line_no", F.col("dose_unit").alias("unit"))
 
 
-@register("normalize_text", "SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(head, '\\n', ' | ', 'g'), '\\s+', ' ', 'g'), '\\s*\\|\\s*', ' | ', 'g'), '[^0-9A-Za-zÀ-ÿ%+./()\\- |]', '', 'g'), '^[ |]+|[ |]+$', '', 'g') AS said FROM {documents_short}")
+@register("normalize_text", "SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '\\n', ' | ', 'g'), '\\s+', ' ', 'g'), '\\s*\\|\\s*', ' | ', 'g'), '[^0-9A-Za-zÀ-ÿ%+./()\\- |]', '', 'g'), '^[ |]+|[ |]+$', '', 'g') AS said FROM {documents}")
 def normalize_text(t):
-    return t("documents_short").select("doc_id", T.normalized(F.col("head")).alias("said"))
+    return t("documents").select("doc_id", T.normalized(F.col("text")).alias("said"))
 
 
 @register("clean_html", "SELECT page_id, trim(regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g')) AS said FROM {pages}")
@@ -73,9 +73,9 @@ def section_extract(t):
     return t("pages").select("page_id", T.section(html).alias("said"))
 
 
-@register("accent_strip", "SELECT doc_id, strip_accents(head) AS said FROM {documents_short} WHERE lang IN ('es', 'fr')")
+@register("accent_strip", "SELECT doc_id, strip_accents(text) AS said FROM {documents} WHERE lang IN ('es', 'fr')")
 def accent_strip(t):
-    return t("documents_short").where("lang in ('es', 'fr')").select("doc_id", T.without_accents(F.col("head")).alias("said"))
+    return t("documents").where("lang in ('es', 'fr')").select("doc_id", T.without_accents(F.col("text")).alias("said"))
 
 
 @register("merged_line_flag", "SELECT ocr_result_id, max(n) > 1 AS merged FROM (SELECT ocr_result_id, raw_line, count(*) AS n FROM {items} GROUP BY 1, 2) GROUP BY 1")

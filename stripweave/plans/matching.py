@@ -182,7 +182,7 @@ def full_match_pipeline(t):
 @register("fuzzy_merge")
 def fuzzy_merge(t):
     """Items of each brand's parts merged by name; the order decides, so there's no oracle."""
-    items = t("part").where("p_partkey < 2000").select("p_brand", F.struct(F.lit(0).alias("line_index"), F.lit(1.0).alias("quantity"), F.upper("p_name").alias("drug_name"), F.when(F.col("p_size") % 3 != 0, F.col("p_size").cast("double")).alias("dose_value"), F.lit("MG").alias("dose_unit"), F.col("p_name").alias("raw_line")).alias("item"), "p_partkey")
+    items = t("part").select("p_brand", F.struct(F.lit(0).alias("line_index"), F.lit(1.0).alias("quantity"), F.upper("p_name").alias("drug_name"), F.when(F.col("p_size") % 3 != 0, F.col("p_size").cast("double")).alias("dose_value"), F.lit("MG").alias("dose_unit"), F.col("p_name").alias("raw_line")).alias("item"), "p_partkey")
     rows = items.groupBy("p_brand").agg(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", "item"))), lambda x: x.item).alias("items")).withColumn("seq", F.lit(0).cast("long"))
     return grouping.merge_group_items(rows, ["p_brand"]).select("p_brand", F.inline("merged_items"))
 
@@ -212,10 +212,15 @@ def track_rollup(t):
     return tracking.rollup(assigned, obs).select("video", "observation_count", "first_bag_id", "last_bag_id", "best_bag_id", "best_quality")
 
 
-@register("session_config")
+@register(
+    "session_config",
+    "SELECT CAST(sum(n) AS INT) AS n_sides, CAST(sum(n // 2) AS INT) AS n_pairs FROM (SELECT user_id, count(*) AS n FROM {events} GROUP BY 1)",
+)
 def session_config(t):
-    videos = t("events").where("user_id = 1").select(F.col("event_id").cast("string").alias("stem"), F.col("ts").alias("capture_time"), F.lit("mtime").alias("time_source"))
-    return grouping.session_config(grouping.sessions(videos)).select(F.to_json("video_sides").alias("video_sides"), F.to_json("video_pairs").alias("video_pairs"))
+    """One configuration of all recordings: their sides, and the complete pairs."""
+    videos = t("events").select("user_id", F.col("event_id").cast("string").alias("stem"), F.col("ts").alias("capture_time"), F.lit("mtime").alias("time_source"))
+    plan = grouping.sessions(videos, ("user_id",))
+    return grouping.session_config(plan).select(F.size("video_sides").alias("n_sides"), F.size("video_pairs").alias("n_pairs"))
 
 
 @register("first_existing", "SELECT c_custkey AS key, min(CASE WHEN (c_custkey + k) % 4 = 0 THEN concat(CAST(k AS STRING), '/', CAST(c_custkey AS STRING)) END) AS path FROM {customer}, (VALUES (0), (1), (2)) AS v(k) WHERE (c_custkey + k) % 4 = 0 GROUP BY 1")

@@ -114,10 +114,11 @@ def slot_expansion(t):
 @register("optimal_assignment")
 def optimal_assignment(t):
     """Pills of each image to expected units; equal totals leave a choice, so there's no oracle."""
-    events = t("events").where("event_id < 4000")
-    pills = events.select((F.col("event_id") % 500).alias("image_id"), F.col("event_id").alias("pill_id"), F.when(F.col("event_type") == "view", "blanco").otherwise("azul").alias("color"), F.lit("redondo").alias("shape"))
-    expected = looks(t).where("p_partkey < 1500").select((F.col("p_partkey") % 500).alias("image_id"), F.concat("drug", F.lit("-"), "p_partkey").alias("drug"), (F.col("rank") % 3 + 1).alias("quantity"))
-    shown = looks(t).where("p_partkey < 1500").select((F.col("p_partkey") % 500).alias("image_id"), F.concat("drug", F.lit("-"), "p_partkey").alias("drug"), "presentation", "description", "rank")
+    i = F.col("event_id")
+    pills = t("events").select(F.col("user_id").alias("image_id"), i.alias("pill_id"), F.when(F.col("event_type") == "view", "blanco").otherwise("azul").alias("color"), F.lit("redondo").alias("shape"))
+    named = looks(t).withColumns({"image_id": F.col("p_partkey") % 100, "drug": F.concat_ws("-", "drug", "p_partkey")})
+    expected = named.select("image_id", "drug", (F.col("rank") % 3 + 1).alias("quantity"))
+    shown = named.select("image_id", "drug", "presentation", "description", "rank")
     return identify.assign(identify.best_scores(pills, shown), expected)
 
 

@@ -84,7 +84,6 @@ PROJECTIONS = {
         FROM {conversations}
         UNION ALL
         SELECT DISTINCT conv_id, -1, concat('PERSONA ', CAST(conv_id AS STRING)), CAST(0 AS DOUBLE) FROM {conversations}""",
-    "documents_short": "SELECT doc_id, left(text, 400) AS head, lang, source FROM {documents}",
 }
 
 
