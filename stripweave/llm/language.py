@@ -23,18 +23,18 @@ from .common import map_texts
 WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 #: The most rows that the model is fitted on: those with the least hash of doc_id, the same at every run.
-TRAINING_ROWS = 6_000
+TRAINING_ROWS = 3_000
 ORDER = 5
-#: Words seen less often than this in training count as unseen, and teach n-grams only.
-LEAST_WORD = 2
+#: Words and n-grams seen less often than this in training count as unseen; rare words teach their n-grams only.
+LEAST_SEEN = 3
 #: Words whose scores a worker remembers; with more it forgets them and begins anew.
-WORD_CACHE = 300_000
+WORD_CACHE = 150_000
 
 
 class Model:
     """Per-language log frequencies of words and of n-grams."""
 
-    def __init__(self, rows: list[tuple[str, str]], *, order: int = ORDER, least_word: int = LEAST_WORD) -> None:
+    def __init__(self, rows: list[tuple[str, str]], *, order: int = ORDER, least_seen: int = LEAST_SEEN) -> None:
         words: dict[str, Counter] = defaultdict(Counter)
         for lang, text in rows:
             words[lang].update(WORD.findall(text.lower()))
@@ -43,7 +43,7 @@ class Model:
         totals = Counter()
         for c in words.values():
             totals.update(c)
-        known = [w for w, n in totals.items() if n >= least_word]
+        known = [w for w, n in totals.items() if n >= least_seen]
         grams: list[dict[str, Counter]] = [defaultdict(Counter) for _ in range(order + 1)]
         for lang, c in words.items():
             for w, n in c.items():
@@ -52,7 +52,12 @@ class Model:
                     for i in range(len(shown) - size + 1):
                         grams[size][lang][shown[i : i + size]] += n
         self.words, self.word_table = self._logs(words, known)
-        learned = [self._logs(g, {x for c in g.values() for x in c}) for g in grams[1:]]
+        learned = []
+        for by_lang in grams[1:]:
+            totals = Counter()
+            for c in by_lang.values():
+                totals.update(c)
+            learned.append(self._logs(by_lang, [x for x, n in totals.items() if n >= least_seen]))
         self.grams, self.gram_tables = [{}, *(x[0] for x in learned)], [None, *(x[1] for x in learned)]
         # A language's share of the training rows isn't used: sources differ in it.
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .common import slices, written
 
 #: Words that a worker remembers the ids of; further words are encoded each time.
-WORD_CACHE = 600_000
+WORD_CACHE = 250_000
 END_ID = 1
 WINDOW = 2048
 
