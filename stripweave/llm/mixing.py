@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 #: Documents in a block, and slots after which a schedule repeats (so at most as many sources).
 BLOCK, RESOLUTION = 32, 1000
 #: Rows of one source that are ranked together, about.
-RANKED = 20_000
+RANKED = 2_000
 
 
 def shares(weights: list[float], resolution: int) -> list[int]:
