@@ -4,7 +4,7 @@
 2. near-dedup: of each group of linked near-duplicates the document with the least id stays;
 3. secrets: what the scan finds is replaced in the text by its kind;
 4. mixing: the rows are put in the order of the Pfair schedule of their sources;
-5. packing: the texts become token sequences, one row for each piece.
+5. packing: the texts become token sequences in the order of the rows, one row for each piece.
 """
 
 from __future__ import annotations
@@ -44,7 +44,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, tokenizer_path())
+    return packing.pack_in_order(docs, tokenizer_path())
 
 
 STAGES = [

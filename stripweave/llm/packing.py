@@ -7,6 +7,9 @@ decided by how many pieces have each length. That histogram has at most ``window
 entries whatever the size of the corpus, and the driver plans on it with a segment tree
 indexed by remaining capacity. The plan says, for a range of pieces of one length, which
 range of windows they go to; the executors number their pieces and look them up.
+
+Where the order of the rows counts, the same plan is made for each group of consecutive
+documents by itself, on the executors, and the windows are numbered in that order.
 """
 
 from __future__ import annotations
@@ -16,9 +19,11 @@ import zlib
 from array import array
 from collections import deque
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import slices, written
@@ -27,6 +32,8 @@ from .common import slices, written
 WORD_CACHE = 250_000
 END_ID = 1
 WINDOW = 2048
+#: Consecutive documents that are packed together where the order counts.
+GROUP = 2048
 
 
 class WordEncoder(dict):
@@ -92,17 +99,19 @@ def encoder(path: str) -> WordEncoder:
     return _ENCODERS[path]
 
 
-def pieces(docs: DataFrame, tokenizer: str, *, window: int = WINDOW) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, *, window: int = WINDOW, carried: tuple[str, ...] = ()) -> DataFrame:
     """Cut each document's ids, and the end id, into full windows and a rest.
 
     Rows ``(doc_id, start, length, ids_crc32, doc_tokens, part, nth)``: ``nth`` counts the
-    pieces of one length within the task ``part`` that read them.
+    pieces of one length within the task ``part`` that read them. The ``carried`` columns,
+    which are long, follow.
     """
 
     def cut(state: dict, batch: pa.RecordBatch) -> pa.RecordBatch:
         words, seen, part = encoder(tokenizer), state["seen"], TaskContext.get().partitionId()
         rows: list[tuple] = []
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        at: list[int] = []
+        for i, (doc_id, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
             ids = words.encode(text or "") + b"\x01\0\0\0"
             total = len(ids) // 4
             for start in range(0, total, window):
@@ -111,9 +120,11 @@ def pieces(docs: DataFrame, tokenizer: str, *, window: int = WINDOW) -> DataFram
                 nth = seen.get(length, 0)
                 seen[length] = nth + 1
                 rows.append((doc_id, start, length, zlib.crc32(some), total, part, nth))
+                at.append(i)
         columns = list(zip(*rows)) or [()] * 7
+        more = [batch.column(c).take(pa.array(at, pa.int64())) for c in carried]
         return pa.RecordBatch.from_arrays(
-            [pa.array(c, pa.int64()) for c in columns], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "part", "nth"]
+            [*(pa.array(c, pa.int64()) for c in columns), *more], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "part", "nth", *carried]
         )
 
     def run(batches):
@@ -122,8 +133,8 @@ def pieces(docs: DataFrame, tokenizer: str, *, window: int = WINDOW) -> DataFram
             for piece in slices(batch, 1):
                 yield cut(state, piece)
 
-    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part long, nth long"
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part long, nth long" + "".join(f", {c} long" for c in carried)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carried).mapInArrow(run, schema)
 
 
 class OpenWindows:
@@ -216,3 +227,54 @@ def pack(docs: DataFrame, tokenizer: str, *, window: int = WINDOW) -> DataFrame:
         (F.col("run")[2] + F.col("k") % F.col("run")[3]).alias("sequence_id"),
         (F.col("run")[4] + F.floor(F.col("k") / F.col("run")[3]) * F.col("length")).cast("long").alias("offset"),
     )
+
+
+def placed(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text, file, row)``: a row's place is its file's number in the folder and its place in the file.
+
+    A table that isn't read from files is written first; its files follow its partitions.
+    """
+    try:
+        docs.select("_metadata.row_index")
+    except AnalysisException:
+        docs = written(docs.select("doc_id", "text"), name="ordered")
+    # Spark names files part-00012-...-c000: the task, and the file within the task.
+    number = lambda pattern: F.regexp_extract("_metadata.file_name", pattern, 1).cast("long")
+    file = number(r"^part-(\d+)-") * 100_000 + number(r"-c(\d+)\.")
+    return docs.select("doc_id", "text", file.alias("file"), F.col("_metadata.row_index").alias("row"))
+
+
+def pack_in_order(docs: DataFrame, tokenizer: str, *, window: int = WINDOW, group: int = GROUP) -> DataFrame:
+    """``pack``, with sequences that follow the order of the rows.
+
+    Best-fit decreasing runs within each ``group`` of consecutive documents; the group's sequences
+    are numbered by the first document in each, and come after those of all groups before. So
+    what holds of the documents' order at a group's end holds of the sequences there.
+    """
+    cut = written(pieces(placed(docs), tokenizer, window=window, carried=("file", "row")).drop("part", "nth"), name="pieces")
+    earlier = lambda column, by: F.coalesce(F.sum(column).over(Window.orderBy(by).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    files = cut.groupBy("file").agg((F.max("row") + 1).alias("n")).select("file", earlier("n", "file").alias("before"))
+    ordered = cut.join(files.hint("merge"), "file").withColumn("place", F.col("before") + F.col("row"))
+    ordered = ordered.withColumn("group", F.floor(F.col("place") / group)).drop("file", "row", "before")
+
+    def fill(table: pa.Table) -> pa.Table:
+        length, place, start = (table.column(c).to_numpy() for c in ("length", "place", "start"))
+        order = np.lexsort((start, place, -length))
+        sequence, offset, at = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64), 0
+        # The plan's runs take the pieces in this order, one run after the other.
+        for n_tokens, first, last, begin, n, begins in plan(dict(zip(*(x.tolist() for x in np.unique(length, return_counts=True)))), window):
+            k = np.arange(last - first + 1)
+            some = order[at : at + len(k)]
+            sequence[some], offset[some] = begin + k % n, begins + k // n * n_tokens
+            at += len(k)
+        earliest = np.full(sequence.max() + 1, np.iinfo(np.int64).max)
+        np.minimum.at(earliest, sequence, place)
+        number = np.empty(len(earliest), np.int64)
+        number[np.argsort(earliest, kind="stable")] = np.arange(len(earliest))
+        return table.drop_columns(["place"]).append_column("sequence", pa.array(number[sequence])).append_column("offset", pa.array(offset))
+
+    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, group long, sequence long, offset long"
+    filled = written(ordered.groupBy("group").applyInArrow(fill, schema), name="filled")
+    groups = filled.groupBy("group").agg((F.max("sequence") + 1).alias("n")).select("group", earlier("n", "group").alias("before"))
+    numbered = filled.join(groups.hint("merge"), "group")
+    return numbered.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("before") + F.col("sequence")).alias("sequence_id"), "offset")

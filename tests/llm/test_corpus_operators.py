@@ -282,6 +282,19 @@ def test_packing(spark, awkward):
     check_packed([tuple(r) for r in table.collect()], packing.pack(table, queries.tokenizer_path(), window=256).collect(), 256)
 
 
+def test_packing_in_order(spark, awkward):
+    table = awkward.select("doc_id", "text")
+    found = packing.pack_in_order(table.repartition(3), queries.tokenizer_path(), window=256, group=4).collect()
+    check_packed([tuple(r) for r in table.collect()], found, 256)
+    texts = [(i, words(random.Random(i), 1 + i % 50)) for i in range(300)]
+    rows = spark.createDataFrame(texts, "doc_id long, text string").repartitionByRange(5, "doc_id").sortWithinPartitions("doc_id")
+    found = packing.pack_in_order(rows, queries.tokenizer_path(), window=256, group=60).collect()
+    check_packed(texts, found, 256)
+    by_group = [[r.sequence_id for r in found if r.doc_id // 60 == g] for g in range(5)]
+    assert all(max(a) < min(b) for a, b in zip(by_group, by_group[1:]))
+    assert sorted({r.sequence_id for r in found}) == list(range(1 + max(r.sequence_id for r in found)))
+
+
 # 6. Secrets
 
 
@@ -452,6 +465,20 @@ def test_pipeline(spark):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language", "near_dedup", "secrets", "mixing", "packing"]
 
 
+def test_pipeline_sequences_keep_to_the_weights(spark):
+    import corpus_pipeline
+
+    r = random.Random(21)
+    source = {i: "b" if i % 4 == 0 else "a" for i in range(6000)}
+    docs = spark.createDataFrame([(i, words(r, 30 if s == "a" else 8), s) for i, s in source.items()], "doc_id long, text string, source string")
+    mixed = corpus_pipeline.written(corpus_pipeline.mix_sources(spark, docs, SMALL))
+    found = sorted(corpus_pipeline.pack_sequences(spark, mixed, SMALL).collect(), key=lambda x: (x.sequence_id, x.offset))
+    want = 4500**0.5 / (4500**0.5 + 1500**0.5)
+    # The second source runs out after 128 blocks; until then each group of documents holds the weights.
+    for n in (2048, 4096):
+        assert abs(sum(source[x.doc_id] == "a" for x in found[:n]) - n * want) < 2 * mixing.BLOCK
+
+
 def test_pipeline_stages_keep_the_columns(spark, awkward):
     import corpus_pipeline
 
