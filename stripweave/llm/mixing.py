@@ -1,77 +1,81 @@
 """Mixing sources to target weights by Pfair scheduling, in DataFrame and SQL functions.
 
-Time is divided into slots of one block. The j-th block of a source with weight w (a
-share of ``resolution`` slots) is released at floor(j / w) and due at ceil((j + 1) / w);
-in each slot the released block with the earliest deadline goes. On one stream that
-schedule meets every deadline, so at any point a source is less than one block from its
-weight's share. The schedule repeats after ``resolution`` slots, so it is found once, on
-one row, whatever the corpus; a document's place then follows from its rank in its source.
+Time is divided into slots of one block. The j-th block of a source with weight w is
+released at floor(j / w) and due at ceil((j + 1) / w); in each slot the released block
+with the earliest deadline goes. On one stream that schedule meets every deadline, so at
+any point a source is less than one block from its weight's share. Weights are exact
+fractions. The driver finds the schedule from the sources' numbers of blocks alone: one
+period of it where the weights have a common denominator of at most ``resolution``, and
+otherwise, as with square roots, every block; a document's place then follows from its
+rank in its source.
 
 When a source runs out a new phase begins, with the others' weights in proportion.
 """
 
 from __future__ import annotations
 
-import json
+import heapq
 import math
+from fractions import Fraction
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Documents in a block, and slots after which a schedule repeats (so at most as many sources).
+#: Documents in a block, and the longest period of a schedule that is repeated (and the most sources).
 BLOCK, RESOLUTION = 32, 1000
 #: Rows of one source that are ranked together, about.
 RANKED = 2_000
 
 
-def shares(weights: list[float], resolution: int) -> list[int]:
-    """Whole shares of ``resolution``, at least 1 each, by largest remainders."""
-    spare = resolution - len(weights)
-    total = math.fsum(weights)
-    exact = [spare * w / total for w in weights]
-    out = [math.floor(x) for x in exact]
-    rest = sorted(range(len(out)), key=lambda i: (out[i] - exact[i], i))
-    for i in rest[: spare - sum(out)]:
-        out[i] += 1
-    return [x + 1 for x in out]
-
-
-SCHEDULE = """
-SELECT aggregate(
-  sequence(0, {slots} - 1),
-  named_struct('done', array_repeat(0, size(share)), 'order', cast(array() AS array<int>)),
-  (acc, t) -> transform(
-    array(array_min(transform(
-      filter(sequence(0, size(share) - 1), s -> acc.done[s] < share[s] AND acc.done[s] * {slots} div share[s] <= t),
-      s -> named_struct('due', ((acc.done[s] + 1) * {slots} + share[s] - 1) div share[s], 's', s))).s),
-    next -> named_struct(
-      'done', transform(acc.done, (x, s) -> x + if(s = next, 1, 0)),
-      'order', concat(acc.order, array(next))))[0]
-).order AS picked
-FROM (SELECT from_json('{share}', 'array<int>') AS share)
-"""
-
+def shares(weights: list[float], slots: int = 1) -> list[Fraction]:
+    """The exact number of blocks of each source in ``slots`` slots. A float is the decimal that it is shown as."""
+    exact = [Fraction(str(w)) for w in weights]
+    total = sum(exact)
+    return [slots * w / total for w in exact]
 
-def schedule(spark: SparkSession, share: list[int]) -> list[int]:
-    """Which source goes in each slot, earliest deadline first among the released blocks."""
-    return list(spark.sql(SCHEDULE.format(slots=sum(share), share=json.dumps(share))).first()["picked"])
 
+def schedule(share: list[Fraction], blocks: list[int], resolution: int) -> tuple[int, list[list[tuple[int, int, int]]]]:
+    """``(period, places)``: the ``(slot, release, deadline)`` of each source's blocks, earliest deadline first among the released.
 
-def phases(spark: SparkSession, blocks: dict, weights: dict, resolution: int) -> list[dict]:
-    """A row for each phase and source: where its blocks stand. Plain numbers, one set for each source."""
+    The period is the least common denominator of the shares where that is at most ``resolution``: the
+    schedule repeats after it, as all of its deadlines are met. Otherwise it is 0, and the schedule ends with the
+    slot in which the first source has no more of its ``blocks``.
+    """
+    period = math.lcm(*(w.denominator for w in share))
+    if period > resolution:
+        period = 0
+    # Of block j: floor(j / w) and ceil((j + 1) / w), in whole numbers.
+    window = lambda s, j: (j * share[s].denominator // share[s].numerator, -(-(j + 1) * share[s].denominator // share[s].numerator))
+    places: list[list[tuple[int, int, int]]] = [[] for _ in share]
+    waiting, ready, slot = [(0, s) for s in range(len(share))], [], 0
+    while not period or slot < period:
+        while waiting and waiting[0][0] <= slot:
+            s = heapq.heappop(waiting)[1]
+            heapq.heappush(ready, (window(s, len(places[s]))[1], s))
+        due, s = heapq.heappop(ready)
+        places[s].append((slot, window(s, len(places[s]))[0], due))
+        if not period and len(places[s]) == blocks[s]:
+            break
+        heapq.heappush(waiting, (window(s, len(places[s]))[0], s))
+        slot += 1
+    return period, places
+
+
+def phases(blocks: dict, weights: dict, resolution: int) -> list[dict]:
+    """A row for each phase and source with blocks in it: where they stand. Plain numbers, one set for each source."""
     left, done, base, out = dict(blocks), dict.fromkeys(blocks, 0), 0, []
     number = 0
     while left:
         names = sorted(left, key=lambda s: (s is not None, s))
-        share = shares([weights[s] for s in names], resolution)
-        places: list[list[int]] = [[] for _ in names]
-        for slot, i in enumerate(schedule(spark, share)):
-            places[i].append(slot)
-        at = lambda i, j: j // share[i] * resolution + places[i][j % share[i]]  # noqa: B023, E731
-        end = min(at(i, left[s] - 1) for i, s in enumerate(names)) + 1
+        share = shares([weights[s] for s in names])
+        period, places = schedule(share, [left[s] for s in names], resolution)
+        at = lambda i, j: j // len(places[i]) * period + places[i][j % len(places[i])][0]  # noqa: B023, E731
+        end = (min(at(i, left[s] - 1) for i, s in enumerate(names)) if period else max(p[-1][0] for p in places if p)) + 1
         for i, s in enumerate(names):
-            n = end // resolution * share[i] + sum(x < end % resolution for x in places[i])
-            out.append({"source": s, "phase": number, "first": done[s], "n": n, "base": base, "share": share[i], "places": places[i]})
+            n = end // period * len(places[i]) + sum(x[0] < end % period for x in places[i]) if period else len(places[i])
+            if n:
+                out.append({"plan_source": s, "phase": number, "first": done[s], "n": n, "base": base, "period": period, "share": float(share[i]), "places": places[i][:n]})
             done[s] += n
             left[s] -= n
             if not left[s]:
@@ -80,12 +84,21 @@ def phases(spark: SparkSession, blocks: dict, weights: dict, resolution: int) ->
     return out
 
 
+def planned(spark, rows: list[dict]) -> DataFrame:
+    """The plan as a table; the places are three arrays."""
+    columns = {"plan_source": pa.string(), "phase": pa.int32(), "first": pa.int64(), "n": pa.int64(), "base": pa.int64(), "period": pa.int64(), "share": pa.float64()}
+    arrays = {c: pa.array([r[c] for r in rows], kind) for c, kind in columns.items()}
+    for i, c in enumerate(("slots", "releases", "deadlines")):
+        arrays[c] = pa.array([[x[i] for x in r["places"]] for r in rows], pa.list_(pa.int64()))
+    return spark.createDataFrame(pa.table(arrays))
+
+
 def mix(docs: DataFrame, *, weights: dict | None = None, block: int = BLOCK, resolution: int = RESOLUTION) -> DataFrame:
     """``docs`` with ``mix_block, mix_phase, mix_slot, mix_position, mix_release, mix_deadline, mix_deviation``.
 
     ``mix_position`` orders the stream; ``mix_deviation`` is how far its source is, in blocks, from its
-    share after that slot of the phase, always between -1 and 1. No row is dropped or repeated. Without
-    ``weights`` a source's weight is the square root of its rows. A null source is a source of its own;
+    weight's share after that slot of the phase, always between -1 and 1. No row is dropped or repeated.
+    Without ``weights`` a source's weight is the square root of its rows. A null source is a source of its own;
     rows with null or repeated ids stay; a source that ``weights`` leaves out is an error, as is a
     weight that isn't positive or more sources than ``resolution``. An empty table gives no rows.
     """
@@ -96,10 +109,7 @@ def mix(docs: DataFrame, *, weights: dict | None = None, block: int = BLOCK, res
     given = {s: math.sqrt(n) for s, n in counts.items()} if weights is None else weights
     if missing := [s for s in counts if not given.get(s, 0) > 0]:
         raise ValueError(f"sources without a positive weight: {missing[:10]}")
-    plan = phases(spark, {s: -(-n // block) for s, n in counts.items()}, given, resolution)
-    kind = "array<struct<source: string, phase: int, first: bigint, n: bigint, base: bigint, share: bigint, places: array<bigint>>>"
-    # A row for each source and phase with one number for each of its slots: bounded by the resolution.
-    table = spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(plan)), kind))).withColumnRenamed("source", "plan_source")
+    table = planned(spark, phases({s: -(-n // block) for s, n in counts.items()}, given, resolution))
 
     # Rank within a source: hash buckets of bounded size, ranked apart, and the buckets before.
     parts = max(1, -(-sum(counts.values()) // RANKED))
@@ -118,13 +128,15 @@ def mix(docs: DataFrame, *, weights: dict | None = None, block: int = BLOCK, res
     inside = (F.col("mix_block") >= F.col("first")) & (F.col("mix_block") < F.col("first") + F.col("n"))
     placed = ranked.join(F.broadcast(table), F.col("source").eqNullSafe(F.col("plan_source")) & inside)
     j = F.col("mix_block") - F.col("first")
-    slot = F.floor(j / F.col("share")) * resolution + F.element_at("places", (j % F.col("share") + 1).cast("int"))
+    # Block j is block j % size of its period, so many periods later.
+    later = F.col("base") + F.floor(j / F.size("slots")) * F.col("period")
+    of = lambda column: later + F.get(column, (j % F.size("slots")).cast("int"))
+    placed = placed.select("*", *(of(c).alias(f"mix_{c[:-1]}") for c in ("slots", "releases", "deadlines")))
     return placed.select(
-        *docs.columns, "mix_block", F.col("phase").alias("mix_phase"), (F.col("base") + slot).alias("mix_slot"),
-        ((F.col("base") + slot) * block + F.col("mix_rank") % block).alias("mix_position"),
-        (F.col("base") + F.floor(j * resolution / F.col("share"))).alias("mix_release"),
-        (F.col("base") + F.ceil((j + 1) * resolution / F.col("share"))).alias("mix_deadline"),
-        (j + 1 - (slot + 1) * F.col("share") / resolution).alias("mix_deviation"),
+        *docs.columns, "mix_block", F.col("phase").alias("mix_phase"), "mix_slot",
+        (F.col("mix_slot") * block + F.col("mix_rank") % block).alias("mix_position"),
+        "mix_release", "mix_deadline",
+        (j + 1 - (F.col("mix_slot") - F.col("base") + 1) * F.col("share")).alias("mix_deviation"),
     )
 
 

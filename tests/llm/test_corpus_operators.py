@@ -451,6 +451,29 @@ def test_mixing_keeps_to_the_weights(spark, awkward):
         mixing.mix(table, weights={"a": 1.0})
 
 
+def test_mixing_keeps_to_the_exact_weights(spark):
+    names = [f"s{i:02}" for i in range(20)]
+    rows = [(i, names[0] if i % 2 else names[1 + i // 2 % 19]) for i in range(12_000)]
+    table = spark.createDataFrame(rows, "doc_id long, source string")
+    # Equal halves, a period of 38; square roots, which have none; decimals.
+    half = {s: 19.0 if s == names[0] else 1.0 for s in names}
+    for weights in (half, None, {s: 0.9 if s == names[0] else 0.1 for s in names}):
+        found = mixing.mix(table, weights=weights, block=2).collect()
+        counts = Counter(s for _, s in rows)
+        given = weights or {s: n**0.5 for s, n in counts.items()}
+        slots = {x.mix_slot: (x.mix_phase, x.source) for x in found}
+        assert sorted(slots) == list(range(6000)) or len(slots) == sum(-(-n // 2) for n in counts.values())
+        total, done, t = sum(given.values()), Counter(), 0
+        while slots.get(t, (1,))[0] == 0:
+            done[slots[t][1]] += 1
+            t += 1
+            assert all(abs(done[s] - t * given[s] / total) < 1 for s in names)
+        assert t > 500 and all(x.mix_release <= x.mix_slot < x.mix_deadline and -1 < x.mix_deviation < 1 for x in found)
+        for x in found:
+            if x.mix_phase == 0:
+                assert abs(x.mix_deviation - (x.mix_block + 1 - (x.mix_slot + 1) * given[x.source] / total)) < 1e-6
+
+
 # All of them together
 
 
