@@ -3,8 +3,8 @@
 Each half of a vector is quantised by its own k-means, and a vector's entry is under its
 pair of centroids, its cell. A query goes through the pairs by the sum of the two
 distances, with a heap over the sorted distances of the halves, until the cells seen hold
-the wanted share of the distinct vectors; the entries of those cells are ranked by their
-distance on the original vectors in double precision.
+the wanted share of the distinct vectors and enough candidates; the entries of those cells
+are ranked by their distance on the original vectors in double precision.
 
 Cells are dealt out to blocks of bounded size (a large cell to several), and queries to
 chunks, so that a task compares one chunk with one block whatever the cells' sizes are.
@@ -67,21 +67,24 @@ def k_means(points: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return centers
 
 
-def visited(left: np.ndarray, right: np.ndarray, weights: np.ndarray, wanted: float) -> Iterator[int]:
-    """Cells with entries, in ascending order of the summed distances, until ``wanted`` is reached.
+def visited(left: np.ndarray, right: np.ndarray, weights: np.ndarray, wanted: float, rows: np.ndarray, least: int) -> Iterator[int]:
+    """Cells with entries, in ascending order of the summed distances, until ``wanted`` and ``least`` are reached.
 
-    ``weights[i, j]`` is what cell ``(i, j)`` holds. The heap has one open pair for each rank on the
-    left: after a pair comes its neighbour on the right, and the next rank opens when one is entered.
+    ``weights[i, j]`` is what cell ``(i, j)`` holds of ``wanted``, ``rows[i, j]`` of ``least``. The heap has one
+    open pair for each rank on the left: after a pair comes its neighbour on the right, and the next rank opens
+    when one is entered.
     """
     a, b = np.argsort(left, kind="stable"), np.argsort(right, kind="stable")
     x, y = left[a].tolist(), right[b].tolist()
     held = weights[np.ix_(a, b)].tolist()
-    heap, seen = [(x[0] + y[0], 0, 0)], 0.0
-    while heap and seen < wanted:
+    heap, seen, candidates = [(x[0] + y[0], 0, 0)], 0.0, 0
+    while heap and (seen < wanted or candidates < least):
         _, i, j = heapq.heappop(heap)
         if held[i][j]:
+            cell = int(a[i]) * len(right) + int(b[j])
             seen += held[i][j]
-            yield int(a[i]) * len(right) + int(b[j])
+            candidates += int(rows.flat[cell])
+            yield cell
         if j + 1 < len(y):
             heapq.heappush(heap, (x[i] + y[j + 1], i, j + 1))
         if j == 0 and i + 1 < len(x):
@@ -133,8 +136,9 @@ def search(table: DataFrame, *, every: int = 100, k: int = 10, share: float = SH
     # A row for each cell, centroids squared at most. Copies of a vector weigh as one, or a frequent one would fill the share.
     held = entries.groupBy("cell", F.hash("vector").alias("v")).agg(F.count("*").alias("n")).groupBy("cell").agg(F.sum("n").alias("rows"), F.count("*").alias("distinct")).collect()
     weights, blocks, opened, room = np.zeros((len(quantiser.left), width)), {}, 0, BLOCK
+    entered = np.zeros(weights.shape, np.int64)
     for r in sorted(held, key=lambda r: r["cell"]):
-        weights.flat[r["cell"]] = r["distinct"]
+        weights.flat[r["cell"]], entered.flat[r["cell"]] = r["distinct"], r["rows"]
         n = -(-r["rows"] // BLOCK)
         if r["rows"] > room:
             opened, room = opened + 1, BLOCK
@@ -151,9 +155,10 @@ def search(table: DataFrame, *, every: int = 100, k: int = 10, share: float = SH
         for batch in batches:
             out = []
             vectors = matrix(batch.column(1)) if batch.num_rows else ()
-            for vec_id, vector in zip(batch.column(0).to_pylist(), vectors):
+            for vec_id, vector, own in zip(batch.column(0).to_pylist(), vectors, batch.column(2).to_pylist()):
                 a, b = quantiser.distances(vector[None])
-                cells = list(visited(a[0], b[0], weights, wanted))
+                # The rows that have the query's id are no candidates, wherever they are.
+                cells = list(visited(a[0], b[0], weights, wanted, entered, k + own))
                 bits = np.zeros(weights.size, np.uint8)
                 bits[cells] = 1
                 bits = np.packbits(bits).tobytes()
@@ -174,8 +179,9 @@ def search(table: DataFrame, *, every: int = 100, k: int = 10, share: float = SH
         "vec_id", "vector", "cell", (F.col("first") + F.pmod(F.xxhash64("vec_id", F.lit(1)), F.col("parts"))).cast("int").alias("block"),
         F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"),
     )
+    queries = rows.where(F.col("vec_id") % every == 0)
     asked = (
-        rows.where(F.col("vec_id") % every == 0).select("vec_id", "vector")
+        queries.join(queries.groupBy("vec_id").agg(F.count("*").alias("own")), "vec_id").select("vec_id", "vector", "own")
         .mapInArrow(ask, "query_id long, vector array<double>, bits binary, block int")
         .withColumn("chunk", F.pmod(F.xxhash64("query_id"), F.lit(chunks)).cast("int"))
     )

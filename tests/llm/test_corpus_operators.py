@@ -231,6 +231,17 @@ def test_few_vectors_return_all(spark):
     assert found == [(0, 1, 100, 0.0), (0, 2, 3, 3.0), (100, 1, 0, 0.0), (100, 2, 3, 3.0)]
 
 
+def test_few_vectors_return_all_by_default(spark):
+    table = spark.createDataFrame([(0, [1.0]), (100, [1.0]), (3, [-2.0])], "vec_id long, embedding array<float>")
+    found = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in neighbours.search(table).collect())
+    assert found == [(0, 1, 100, 0.0), (0, 2, 3, 3.0), (100, 1, 0, 0.0), (100, 2, 3, 3.0)]
+    # Ten candidates of many, though the query's cell, with rows of its own id alone, holds most of the distinct vectors.
+    rows = [(0, [1.0 + i / 1000, 0.0]) for i in range(30)] + [(1 + i, [-5.0 - i, 3.0 * i]) for i in range(14)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = neighbours.search(table, centroids=2)
+    assert found.where("query_id = 0").count() == 10 and found.where("vec_id = 0").count() == 0
+
+
 # 5. Packing
 
 
