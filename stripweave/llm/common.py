@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 #: Bytes of text that a Python worker handles at a time (a longer text comes alone).
 SLICE_BYTES = 8 << 20
+#: Rows that one task reads for one key without ado.
+HOT_ROWS = 1_000
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,10 +24,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; where it is unset (tests), one made for this session."""
+    """The folder in ``spark.checkpoint.dir``; where it is unset and all runs in one process, one made for this session."""
     context = spark.sparkContext
     given = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not given:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         given = tempfile.mkdtemp(prefix="stripweave-")
         context.setCheckpointDir(given)
     return given.rstrip("/")
@@ -39,6 +45,39 @@ def written(df: DataFrame, *, name: str = "part") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def quoted(name: str) -> Column:
+    """The column of that name, whatever characters are in it."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def fresh(name: str, taken: list[str]) -> str:
+    """``name``, with underscores behind it until no column has it, in either case of letters."""
+    known = {c.lower() for c in taken}
+    while name.lower() in known:
+        name += "_"
+    return name
+
+
+def split_join(left: DataFrame, right: DataFrame, on: list[str], *, least: int = HOT_ROWS) -> DataFrame:
+    """Inner join of a written table ``left`` with ``right``, which has few rows for a key, where a key may hold much of ``left``.
+
+    Keys with more than a thousandth of the rows of ``left`` (a thousand keys at most), and with ``least``, are
+    joined where their rows are, by broadcast; the rest meets by shuffle.
+    """
+    sizes = left.groupBy(*on).agg(F.count("*").alias("_n"))
+    some = [r.asDict() for r in sizes.where(F.col("_n") > least).orderBy(F.desc("_n")).limit(1000).collect()]
+    if not some:
+        return left.join(right.hint("merge"), on)
+    count = left.count()
+    kinds = {f.name: f.dataType for f in left.schema.fields}
+    keys = [tuple(r[c] for c in on) for r in some if r["_n"] > count / 1000]
+    if not keys:
+        return left.join(right.hint("merge"), on)
+    hot = F.broadcast(left.sparkSession.createDataFrame(keys, StructType([StructField(c, kinds[c]) for c in on])))
+    near = left.join(F.broadcast(right.join(hot, on, "left_semi")), on)
+    return near.unionByName(left.join(hot, on, "left_anti").join(right.hint("merge"), on))
+
+
 def slices(batch: pa.RecordBatch, column: int = 0, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows with at most ``limit`` bytes of text, or one row."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import split_join, written
 
 # The base patterns for a leftmost, non-overlapping search. Possessive quantifiers and the look-behinds
 # change no match: they keep the search linear, and the stack flat, on long runs of one kind of character.
@@ -23,14 +23,15 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 KINDS = tuple(PATTERNS)
-#: Identifier-like: a run without white space that holds a digit or an at sign.
-TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
-#: Code points on either side in which context words are looked for.
+#: Identifier-like: tokens without white space that hold a digit or an at sign, and further ones that hold
+#: digits and no letter, after one space each. The base kinds without their strict parts look so.
+TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+(?:\x20[^\sA-Za-z0-9@]*+[0-9][^\sA-Za-z@]*+(?!\S))*+"
+#: Code points on either side in which context words are looked for. A word cut by the reach isn't used.
 REACH = 80
 ROUNDS = 3
-#: Distinct seeds that a pattern must occur with, the pseudo-count against small patterns, and the
-#: least confidence of a pattern and score of an instance.
-SUPPORT, SMOOTHING, CONFIDENT, ACCEPTED = 3, 1.0, 0.7, 0.7
+#: Distinct instances, seeds or accepted ones, that a pattern must occur with, the pseudo-count against
+#: small patterns, and the least confidence of a pattern and score of an instance.
+SUPPORT, SMOOTHING, CONFIDENT, ACCEPTED = 3, 1.0, 0.6, 0.6
 
 
 def occurrences(text: Column, pattern: str) -> Column:
@@ -63,7 +64,7 @@ def holds(kind: Column, value: Column) -> Column:
     """The conditions on a base match beyond its pattern."""
     digits = F.regexp_replace(value, "[^0-9]", "")
     n = F.length(digits)
-    part = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
+    part = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9][0-9]?)?"  # leading zeros don't count; zero is nothing but them
     return (
         F.when(kind == "email", True)
         .when(kind == "ip", value.rlike(rf"^{part}(?:\.{part}){{3}}$"))
@@ -100,19 +101,24 @@ def found_in(docs: DataFrame) -> DataFrame:
     return rows.where(holds(F.col("kind"), F.col("value"))).drop("gap", "size", "at")
 
 
+def context_words(side: Column, cut_at_start: Column, cut_at_end: Column) -> Column:
+    """The words of a context: lower case, digits as ``0``, without punctuation, and whole."""
+    whole = F.when(cut_at_start, F.regexp_replace(side, r"^\S+", "")).otherwise(F.when(cut_at_end, F.regexp_replace(side, r"\S+$", "")).otherwise(side))
+    plain = F.regexp_replace(F.regexp_replace(F.lower(whole), r"[0-9]+", "0"), r"[^\p{L}0]+", " ")
+    return F.filter(F.split(plain, " "), lambda w: w != "")
+
+
 def patterns_of() -> Column:
-    """The lexical patterns of an occurrence: one word, or two, to the left; a word on either side."""
-    words = F.split(F.lower(F.trim(F.regexp_replace("before", r"\s+", " "))), " ")
-    after = F.split(F.lower(F.trim(F.regexp_replace("after", r"\s+", " "))), " ")
+    """The lexical patterns of an occurrence: one word, or two, to the left, a word before a gap of one, a word on either side."""
+    cut = lambda c: F.length(c) == REACH
+    words, after = context_words(F.col("before"), cut("before"), F.lit(False)), context_words(F.col("after"), F.lit(False), cut("after"))
     left, second, right = F.get(words, F.size(words) - 1), F.get(words, F.size(words) - 2), F.get(after, F.lit(0))
-    return F.array_distinct(
-        F.filter(
-            F.array(
-                F.when(F.length(left) > 0, F.concat(F.lit("l "), left)),
-                F.when((F.length(left) > 0) & second.isNotNull(), F.concat(F.lit("ll "), second, F.lit(" "), left)),
-                F.when((F.length(left) > 0) & (F.length(right) > 0), F.concat(F.lit("lr "), left, F.lit(" | "), right)),
-            ),
-            lambda p: p.isNotNull(),
+    return F.array_compact(
+        F.array(
+            F.concat(F.lit("l "), left),
+            F.concat(F.lit("ll "), second, F.lit(" "), left),
+            F.concat(F.lit("lg "), second, F.lit(" _")),
+            F.concat(F.lit("lr "), left, F.lit(" | "), right),
         )
     )
 
@@ -121,25 +127,25 @@ def score_patterns(edges: DataFrame, *, rounds: int = ROUNDS) -> tuple[DataFrame
     """Score ``edges(pattern, instance, kind)``, distinct, where ``kind`` is a seed's and else null.
 
     Rounds of two steps. A pattern's confidence for a kind is the sum of its instances' scores for
-    it over the number of its instances and a pseudo-count, if it has enough seeds of that kind. An
-    instance's score is that at least one confident pattern is right, ``1 - prod(1 - confidence)``;
-    seeds keep 1. Returns ``(pattern, kind, confidence)`` and ``(instance, kind, score)``.
+    it over the number of its instances and a pseudo-count, if enough of them are seeds or were accepted
+    in the round before. An instance's score is that at least one confident pattern is right,
+    ``1 - prod(1 - confidence)``; seeds keep 1. Returns ``(pattern, kind, confidence)`` and ``(instance, kind, score)``.
     """
     edges = written(edges, name="edges")
     sizes = edges.groupBy("pattern").agg(F.count("*").alias("n"))
     seeds = edges.where("kind is not null").select("instance", "kind").distinct().withColumn("score", F.lit(1.0))
     scores = seeds
     for _ in range(rounds):
-        held = edges.select("pattern", "instance").join(scores, "instance")
-        strength = held.groupBy("pattern", "kind").agg(F.sum("score").alias("strength"), F.count_if(F.col("score") == 1.0).alias("seeds"))
-        confident = strength.where(F.col("seeds") >= SUPPORT).join(sizes, "pattern")
+        held = split_join(edges.select("pattern", "instance"), scores, ["instance"])
+        strength = held.groupBy("pattern", "kind").agg(F.sum("score").alias("strength"), F.count_if(F.col("score") >= ACCEPTED).alias("support"))
+        confident = strength.where(F.col("support") >= SUPPORT).join(sizes.hint("merge"), "pattern")
         confident = confident.select("pattern", "kind", (F.col("strength") / (F.col("n") + SMOOTHING)).alias("confidence")).where(F.col("confidence") >= CONFIDENT)
         confident = written(confident, name="patterns")
         raised = (
-            edges.where("kind is null").select("pattern", "instance").join(confident, "pattern")
+            split_join(edges.where("kind is null").select("pattern", "instance"), confident, ["pattern"])
             .groupBy("instance", "kind").agg((1 - F.exp(F.sum(F.log(1 - F.least("confidence", F.lit(0.999)))))).alias("score"))
         )
-        scores = written(seeds.unionByName(raised.join(seeds, ["instance", "kind"], "left_anti")), name="scores")
+        scores = written(seeds.unionByName(raised.join(seeds.hint("merge"), ["instance", "kind"], "left_anti")), name="scores")
     return confident, scores
 
 
@@ -149,19 +155,21 @@ def spans(docs: DataFrame) -> DataFrame:
     base = found.where("kind <> 'token'")
     taken = base.groupBy(*KEY).agg(F.collect_list(F.struct("start", "stop")).alias("taken"))
     same = [F.col(f"t.{k}").eqNullSafe(F.col(f"b.{k}")) for k in KEY]
-    tokens = found.where("kind = 'token'").alias("t").join(taken.alias("b"), same, "left").select("t.*", "b.taken")
+    tokens = found.where("kind = 'token'").alias("t").join(taken.hint("merge").alias("b"), same, "left").select("t.*", "b.taken")
     tokens = tokens.where(F.col("taken").isNull() | ~F.exists("taken", lambda s: (s.start < F.col("stop")) & (F.col("start") < s.stop))).drop("taken")
     # A token stands without the punctuation around it.
     ahead = F.length("value") - F.length(F.regexp_replace("value", r"^[(\[{<\"'.,;:!?*|]++", ""))
-    bare = F.regexp_replace(F.regexp_replace("value", r"^[(\[{<\"'.,;:!?*|]++", ""), r"[)\]}>\"'.,;:!?*|$%&#]+$", "")
+    closing = r"[)\]}>\"'.,;:!?*|$%&#]"
+    bare = F.regexp_replace(F.regexp_replace("value", r"^[(\[{<\"'.,;:!?*|]++", ""), rf"(?<!{closing}){closing}++$", "")
     tokens = tokens.withColumn("start", F.col("start") + ahead).withColumn("value", bare).withColumn("stop", F.col("start") + F.length("value"))
-    tokens = tokens.where(F.length(F.regexp_replace("value", "[^0-9@]", "")) >= 4)
+    tokens = tokens.where((F.length(F.regexp_replace("value", "[^0-9]", "")) >= 4) | F.contains("value", F.lit("@")))
     every = base.unionByName(tokens.withColumn("kind", F.lit(None).cast("string"))).withColumn("instance", F.lower("value"))
     every = written(every.withColumn("pattern", F.explode_outer(patterns_of())).drop("before", "after", "value"), name="occurrences")
     edges = every.where("pattern is not null").groupBy("pattern", "instance").agg(F.min("kind").alias("kind"))
     confident, scores = score_patterns(edges)
     new = (
-        every.where("kind is null").drop("kind").join(confident, "pattern").join(scores.where(F.col("score") >= ACCEPTED), ["instance", "kind"])
+        split_join(every.where("kind is null").drop("kind"), confident, ["pattern"])
+        .join(scores.where(F.col("score") >= ACCEPTED).hint("merge"), ["instance", "kind"])
         .select(*KEY, "kind", "start", "stop", F.lit(False).alias("base")).distinct()
     )
     return base.select(*KEY, "kind", "start", "stop", F.lit(True).alias("base")).unionByName(new)
@@ -178,7 +186,7 @@ def detect(docs: DataFrame) -> DataFrame:
     row = F.struct("start", number.alias("number"), "stop", "base", shown.alias("shown"))
     grouped = spans(docs).groupBy(*KEY).agg(F.array_sort(F.collect_list(row)).alias("all"))
     slim = keyed(docs).drop("text")
-    joined = slim.alias("d").join(grouped.alias("g"), [F.col(f"d.{k}").eqNullSafe(F.col(f"g.{k}")) for k in KEY], "left").select("d.doc_id", "g.all")
+    joined = slim.alias("d").join(grouped.hint("merge").alias("g"), [F.col(f"d.{k}").eqNullSafe(F.col(f"g.{k}")) for k in KEY], "left").select("d.doc_id", "g.all")
     every = F.coalesce("all", F.filter("all", lambda x: F.lit(False)), F.expr("cast(array() as array<struct<start: bigint, number: bigint, stop: bigint, base: boolean, shown: string>>)"))
     base = F.filter(every, lambda x: x.base)
     text = lambda a: F.array_join(F.transform(a, lambda x: x.shown), ",")
