@@ -92,7 +92,7 @@ def slices(batch: pa.RecordBatch, column: int = 0, limit: int = SLICE_BYTES) ->
 
 
 def map_texts(
-    df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, *, column: int
+    df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | StructType, *, column: int
 ) -> DataFrame:
     """Apply ``function`` to Arrow batches of ``df`` cut by the bytes of the text in ``column``."""
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from zlib import crc32
@@ -31,102 +32,188 @@ ENDS_P = frozenset(
 SAME_ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("ul ol table dl select article section div main nav aside body".split())
 
-TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<(script|style|template|noscript)\b(?:[^>"']++|"[^"]*+"|'[^']*+')*+>.*?(?:</\1\s*>|\Z)"""
-    r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|</?[a-zA-Z][^>]*>|<[!?][^>]*>""",
-    re.DOTALL | re.IGNORECASE,
-)
+# Elements that decide where an open paragraph, item, row or cell ends.
+BOUNDS = frozenset({*SCOPES, "p", *SAME_ENDS})
+RAW = frozenset("script style template noscript".split())
+
+TAG = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
+ATTRIBUTES = re.compile(r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>""")
+RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.IGNORECASE) for tag in RAW}
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
 NAME = re.compile(r"[a-z]+")
+#: Tags whose quotes don't close, after which a page's tags end at the next ``>`` without regard to quotes.
+ODD_TAGS = 8
 
 PATH_BUCKETS, WORD_BUCKETS, WIDTH, SIZES, HIDDEN = 1024, 256, 12, 6, 16
 
 
+class Node:
+    """An element of a page: its parent, and the hashed tokens that it adds to the paths below it."""
+
+    __slots__ = ("parent", "own")
+
+    def __init__(self, parent: Node | None, own: tuple[int, ...]) -> None:
+        self.parent, self.own = parent, own
+
+
 class Block:
-    __slots__ = ("path", "text", "linked")
+    __slots__ = ("node", "text", "linked")
+
+    def __init__(self, node: Node | None, text: str, linked: int) -> None:
+        self.node, self.text, self.linked = node, text, linked
+
+
+@lru_cache(50_000)
+def path_bucket(token: str) -> int:
+    return crc32(token.encode("utf-8", "surrogatepass")) % PATH_BUCKETS
 
-    def __init__(self, path: tuple, text: str, linked: int) -> None:
-        self.path, self.text, self.linked = path, text, linked
+
+def tags(page: str) -> Iterator[tuple[int, int, str | None, bool, str]]:
+    """``(start, stop, name, closing, attributes)`` of each tag; the name is None for what is no text and no tag.
+
+    That is comments, declarations and scripts with all that is in them. A ``<`` that begins none of these,
+    or has no ``>`` after it, is text. Every character is read a bounded number of times.
+    """
+    at, odd = page.find("<"), 0
+    while at >= 0:
+        stop = -1
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4)
+            stop = end + 3 if end >= 0 else len(page)
+            yield at, stop, None, False, ""
+        elif m := TAG.match(page, at + 1):
+            inner = ATTRIBUTES.match(page, m.end()) if odd < ODD_TAGS else None
+            if inner:
+                stop = inner.end()
+                if not m[1] and m[2].lower() in RAW:
+                    end = RAW_END[m[2].lower()].search(page, stop)
+                    stop = end.end() if end else len(page)
+                    yield at, stop, None, False, ""
+                else:
+                    yield at, stop, m[2].lower(), bool(m[1]), page[m.end() : inner.end() - 1]
+            else:
+                odd += 1
+                stop = page.find(">", m.end()) + 1
+                if not stop:  # and none for any later tag
+                    return
+                yield at, stop, m[2].lower(), bool(m[1]), page[m.end() : stop - 1]
+        elif page.startswith(("<!", "<?"), at):
+            stop = page.find(">", at) + 1
+            if not stop:
+                return
+            yield at, stop, None, False, ""
+        at = page.find("<", stop if stop > 0 else at + 1)
 
 
 def blocks(page: str) -> list[Block]:
     """Leaf blocks in page order: white space is one space, references are decoded, empty ones left out.
 
-    Scripts, styles, templates and comments aren't text. A stray ``<`` is.
+    Scripts, styles, templates and comments aren't text. A stray ``<`` is. The work is linear in the page.
     """
     out: list[Block] = []
-    stack: list[tuple[str, tuple]] = []  # the open elements, and the path's tokens down to each
+    stack: list[tuple[str, Node]] = []  # the open elements
+    bounds: list[int] = []  # where in the stack those are that can end, or keep open, a paragraph or item
+    opened: Counter = Counter()
     parts: list[str] = []
-    path: tuple | None = None
-    linked, links, at = 0, 0, 0
+    node: Node | None = None
+    begun = False
+    linked, at = 0, 0
 
     def flush() -> None:
-        nonlocal path, linked
+        nonlocal begun, node, linked
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                out.append(Block(path or (), text, min(linked, len(text))))
+                out.append(Block(node, text, min(linked, len(text))))
             parts.clear()
-        path, linked = None, 0
-
-    for m in TOKEN.finditer(page):
-        if m.start() > at:
-            path, linked = _text(page[at : m.start()], parts, stack, path, linked, links)
-        at = m.end()
-        tag = m[3]
+        begun, node, linked = False, None, 0
+
+    def add(text: str) -> None:
+        nonlocal begun, node, linked
+        if "&" in text:
+            text = html.unescape(text)
+        parts.append(text)
+        if not begun and not text.isspace():
+            begun, node = True, stack[-1][1] if stack else None
+        if opened["a"]:
+            linked += len(text)
+
+    def close(i: int) -> None:
+        for name, _ in stack[i:]:
+            opened[name] -= 1
+        del stack[i:]
+        while bounds and bounds[-1] >= i:
+            bounds.pop()
+
+    for start, stop, tag, closing, attributes in tags(page):
+        if start > at:
+            add(page[at:start])
+        at = stop
         if tag is None:
             continue
-        tag, closing = tag.lower(), m[2]
         if tag == "br":
             parts.append(" ")
             continue
         if tag not in INLINE:
             flush()
         if closing:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    links -= sum(x[0] == "a" for x in stack[i:])
-                    del stack[i:]
-                    break
+            if opened[tag]:
+                close(next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag))
             continue
         if tag in VOID:
             continue
         ends = {"p"} if tag in ENDS_P else SAME_ENDS.get(tag, ())
         if ends:
-            for i in range(len(stack) - 1, -1, -1):
+            for i in reversed(bounds):
                 if stack[i][0] in ends:
-                    links -= sum(x[0] == "a" for x in stack[i:])
-                    del stack[i:]
+                    close(i)
                     break
                 if stack[i][0] in SCOPES:
                     break
-        names = [tag]
-        if len(m[4]) > 4:
-            for n in NAMES.finditer(m[4]):
+        if attributes.endswith("/") and tag not in ENDS_P:
+            continue
+        names = [] if tag in INLINE and tag != "a" else [tag]
+        if tag not in INLINE and len(attributes) > 4:
+            for n in NAMES.finditer(attributes):
                 names += ["." + w for w in NAME.findall((n[1] or n[2] or n[3] or "").lower())]
-        if not (m[4].endswith("/") and tag not in ENDS_P):
-            stack.append((tag, (stack[-1][1] if stack else ()) + ((tag,) if tag in INLINE else tuple(names))))
-            links += tag == "a"
+        if tag in BOUNDS:
+            bounds.append(len(stack))
+        stack.append((tag, Node(stack[-1][1] if stack else None, tuple(map(path_bucket, names)))))
+        opened[tag] += 1
     if at < len(page):
-        path, linked = _text(page[at:], parts, stack, path, linked, links)
+        add(page[at:])
     flush()
     return out
 
 
-def _text(text: str, parts: list[str], stack: list, path: tuple | None, linked: int, links: int) -> tuple:
-    if "&" in text:
-        text = html.unescape(text)
-    parts.append(text)
-    if path is None and not text.isspace():
-        path = stack[-1][1] if stack else ()
-    return path, linked + (len(text) if links else 0)
+def chain(node: Node | None) -> list[Node]:
+    """The element and those around it, from the leaf up."""
+    out = []
+    while node:
+        out.append(node)
+        node = node.parent
+    return out
 
 
-@lru_cache(50_000)
-def path_bag(path: tuple) -> np.ndarray:
-    """Hashed tokens of a path; those near the leaf and the class words count as much as the rest together."""
-    tokens = [t for t in path if t not in INLINE or t == "a"]
-    return np.array([crc32(t.encode()) % PATH_BUCKETS for t in tokens] or [0], np.int64)
+def path_bag(node: Node | None) -> np.ndarray:
+    """Buckets of all tokens of a path, and the first one, which is in all of them."""
+    return np.array([0, *(b for n in chain(node) for b in n.own)], np.int64)
+
+
+def path_vectors(page: list[Block], table: np.ndarray) -> np.ndarray:
+    """The sum of the embeddings of each block's path. An element's is added to its parent's, once."""
+    known: dict[Node | None, np.ndarray] = {None: table[0]}
+    out = np.empty((len(page), table.shape[1]))
+    for k, block in enumerate(page):
+        node, todo = block.node, []
+        while node not in known:
+            todo.append(node)
+            node = node.parent
+        for n in reversed(todo):
+            total = known[n.parent]
+            known[n] = total + table[list(n.own)].sum(axis=0) if n.own else total
+        out[k] = known[block.node]
+    return out
 
 
 class Buckets(dict):
@@ -169,7 +256,7 @@ class Labeller:
 
     def inputs(self, page: list[Block]) -> np.ndarray:
         w, n = self.weights, len(page)
-        paths = np.stack([w["path"][path_bag(b.path)].sum(axis=0) for b in page])
+        paths = path_vectors(page, w["path"])
         words = np.stack([w["word"][word_bag(b.text)].mean(axis=0) for b in page])
         return np.concatenate([paths, words, np.array([sizes(b, i, n) for i, b in enumerate(page)])], axis=1)
 
@@ -255,7 +342,7 @@ class Labeller:
         grads["path"], grads["word"] = np.zeros_like(w["path"]), np.zeros_like(w["word"])
         for k, (page, _) in enumerate(some):
             for t, block in enumerate(page):
-                np.add.at(grads["path"], path_bag(block.path), dx[t, k, :WIDTH])
+                np.add.at(grads["path"], path_bag(block.node), dx[t, k, :WIDTH])
                 bag = word_bag(block.text)
                 np.add.at(grads["word"], bag, dx[t, k, WIDTH : 2 * WIDTH] / len(bag))
         return grads

@@ -16,34 +16,36 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from .common import map_texts
 
-#: Letters of any script; digits, marks and underscores end a word.
 WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 #: The most rows that the model is fitted on: those with the least hash of doc_id, the same at every run.
 TRAINING_ROWS = 3_000
 ORDER = 5
-#: Words and n-grams seen less often than this in training count as unseen; rare words teach their n-grams only.
-LEAST_SEEN = 3
-#: Words whose scores a worker remembers; with more it forgets them and begins anew.
-WORD_CACHE = 150_000
+#: Unseen words whose scores a worker remembers; with more it forgets them and begins anew.
+WORD_CACHE = 60_000
+
+
+def words_of(text: str) -> list[str]:
+    """Runs of letters of any script, lower-cased; digits, other numbers (such as fractions), marks and underscores end a word."""
+    found = WORD.findall(text.lower())
+    if text.isascii():
+        return found
+    return [p for w in found for p in ((w,) if w.isalpha() else "".join(c if c.isalpha() else " " for c in w).split())]
 
 
 class Model:
     """Per-language log frequencies of words and of n-grams."""
 
-    def __init__(self, rows: list[tuple[str, str]], *, order: int = ORDER, least_seen: int = LEAST_SEEN) -> None:
+    def __init__(self, rows: list[tuple[str, str]], *, order: int = ORDER) -> None:
         words: dict[str, Counter] = defaultdict(Counter)
         for lang, text in rows:
-            words[lang].update(WORD.findall(text.lower()))
+            words[lang].update(words_of(text))
         self.langs = sorted(words)
         self.order = order
-        totals = Counter()
-        for c in words.values():
-            totals.update(c)
-        known = [w for w, n in totals.items() if n >= least_seen]
         grams: list[dict[str, Counter]] = [defaultdict(Counter) for _ in range(order + 1)]
         for lang, c in words.items():
             for w, n in c.items():
@@ -51,19 +53,14 @@ class Model:
                 for size in range(1, order + 1):
                     for i in range(len(shown) - size + 1):
                         grams[size][lang][shown[i : i + size]] += n
-        self.words, self.word_table = self._logs(words, known)
-        learned = []
-        for by_lang in grams[1:]:
-            totals = Counter()
-            for c in by_lang.values():
-                totals.update(c)
-            learned.append(self._logs(by_lang, [x for x, n in totals.items() if n >= least_seen]))
+        self.words, self.word_table = self._logs(words)
+        learned = [self._logs(by_lang) for by_lang in grams[1:]]
         self.grams, self.gram_tables = [{}, *(x[0] for x in learned)], [None, *(x[1] for x in learned)]
         # A language's share of the training rows isn't used: sources differ in it.
 
-    def _logs(self, counts: dict[str, Counter], keys) -> tuple[dict[str, int], np.ndarray]:
-        """An index of the keys, and their rows of log frequencies relative to the mean over the languages."""
-        keys = sorted(keys)
+    def _logs(self, counts: dict[str, Counter]) -> tuple[dict[str, int], np.ndarray]:
+        """An index of all that was counted, and the rows of log frequencies relative to the mean over the languages."""
+        keys = sorted(set().union(*counts.values()))
         table = np.array([[counts[k][w] for k in self.langs] for w in keys], float).reshape(len(keys), len(self.langs)) + 0.5
         table = np.log(table / np.array([sum(counts[k].values()) + 0.5 * len(keys) for k in self.langs]))
         return {w: i for i, w in enumerate(keys)}, table - table.sum(axis=1, keepdims=True) / max(1, len(self.langs))
@@ -90,31 +87,36 @@ _CACHES: dict[int, Scorer] = {}
 
 
 class Scorer(dict):
-    """Remembers where in a growing table each word's scores are."""
+    """Where in a growing table each word's scores are: the known words first, then unseen ones as they come."""
 
     def __init__(self, model: Model) -> None:
-        self.model = model
-        self.table = np.zeros((1024, len(model.langs)))
+        super().__init__(model.words)
+        self.model, self.known = model, len(model.words)
+        self.table = model.word_table
 
     def __missing__(self, word: str) -> int:
-        at = self.model.words.get(word)
         i = self[word] = len(self)
-        if i == len(self.table):
-            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        self.table[i] = self.model.unseen(word) if at is None else self.model.word_table[at]
+        if i >= len(self.table):
+            self.table = np.concatenate([self.table, np.zeros((max(1024, i - self.known), len(self.model.langs)))])
+        self.table[i] = self.model.unseen(word)
         return i
 
+    def forget(self) -> None:
+        while len(self) > self.known:
+            self.popitem()
+        self.table = self.model.word_table
+
     def predict(self, text: str | None) -> tuple[str, float]:
         """The language and its share of the posterior over the learned languages.
 
         The posterior is tempered by the square root of the number of words, as words of a text
         aren't independent. A tie goes to the first language in alphabetical order.
         """
-        words = WORD.findall(text.lower()) if text else []
+        words = words_of(text) if text else []
         if not words or not self.model.langs:
             return UNKNOWN, 0.0
-        if len(self) > WORD_CACHE:  # between texts, so the table holds one text's words besides
-            self.clear()
+        if len(self) > self.known + WORD_CACHE:  # between texts, so the table holds one text's words besides
+            self.forget()
         found = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
         total = self.table[found].sum(axis=0) / math.sqrt(len(words))
         best = int(total.argmax())
@@ -130,20 +132,23 @@ def fit(docs: DataFrame, *, rows: int = TRAINING_ROWS) -> Model:
     """Fit on the whole texts of at most ``rows`` labelled rows that aren't held out.
 
     They are those with the least hash, found first without their texts, so that no text is shuffled.
+    Of rows that repeat the last id those with the least language and text are taken.
     """
     usable = docs.where(~held_out()).where("doc_id is not null and lang is not null and text is not null")
     slim = usable.select("lang", F.col("text").cast("string").alias("text"), F.xxhash64("doc_id").alias("h"))
     last = slim.select("h").orderBy("h").limit(rows).agg(F.max("h")).first()[0]
-    found = slim.where(F.col("h") <= last).collect() if last is not None else []
+    found = slim.where(F.col("h") <= last).orderBy("h", "lang", "text").limit(rows).collect() if last is not None else []
     return Model(sorted((r["lang"], r["text"]) for r in found))
 
 
-def identify(docs: DataFrame, model: Model, *, keep: bool = False) -> DataFrame:
-    """``(doc_id, held_out, lang_pred, score)`` of each row, or its columns with the last two appended (``keep``).
+def identify(docs: DataFrame, model: Model, *, keep: tuple[str, str] | None = None) -> DataFrame:
+    """``(doc_id, held_out, lang_pred, score)`` of each row, or its columns with the last two appended by the names in ``keep``.
 
     ``und`` with score 0 where the text is null, empty or has no letter, and wherever the model has
     learned no language (an empty table of labelled rows). Rows with null or repeated ``doc_id`` stay,
-    each by itself; a null ``doc_id`` isn't held out. ``lang`` and ``source`` aren't read here.
+    each by itself; a null ``doc_id`` isn't held out. ``lang``, ``source`` and other columns aren't read here;
+    the names in ``keep`` must be new ones. A text is read whole, whatever its length; equal texts have
+    equal results, and a tie between languages goes to the first in alphabetical order.
     """
     # The model's size is bounded by the training bounds above; it goes out once with the task.
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -157,10 +162,10 @@ def identify(docs: DataFrame, model: Model, *, keep: bool = False) -> DataFrame:
             scorer = _CACHES[key] = Scorer(shared.value)
         found = [scorer.predict(t) for t in batch.column(texts).to_pylist()]
         langs, scores = pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())
-        return pa.RecordBatch.from_arrays([*batch.columns, langs, scores], [*batch.schema.names, "lang_pred", "score"])
+        return pa.RecordBatch.from_arrays([*batch.columns, langs, scores], [*batch.schema.names, *(keep or ("lang_pred", "score"))])
 
     if keep:
-        return map_texts(docs, run, f"{docs.schema.simpleString()[7:-1]},lang_pred:string,score:double", column=texts)
+        return map_texts(docs, run, StructType([*docs.schema.fields, StructField(keep[0], StringType()), StructField(keep[1], DoubleType())]), column=texts)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), F.col("text").cast("string").alias("text"))
     texts = 2
     found = map_texts(slim, run, "doc_id long, held_out boolean, text string, lang_pred string, score double", column=2)

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -423,6 +424,24 @@ def test_blocks_of_malformed_html():
     assert found[2].linked == 1 and htmltext.blocks("") == [] and htmltext.blocks("<div></div> ") == []
 
 
+@pytest.mark.parametrize(
+    "page",
+    ["<a" * 500_000, "<div>" * 100_000, "<div>x" * 50_000, "<a b=\"" * 100_000, "<a b='x' c=\">" * 50_000, "<a\">\"" * 50_000, "<!--" * 200_000, "<!-- ->" * 50_000, "<script>" * 100_000,
+     "<div>" * 50_000 + "</x>" * 50_000, "<p><div>" + "<b>" * 50_000 + "<hr>" * 50_000, "<" * 500_000, "<!x" * 200_000, "&" * 300_000, "<p class='" * 50_000],
+)
+def test_tokeniser_is_linear(page):
+    began = time.perf_counter()
+    htmltext.blocks(page)
+    assert time.perf_counter() - began < 2
+
+
+def test_path_vectors_are_sums_over_the_path():
+    table = np.random.default_rng(0).normal(size=(htmltext.PATH_BUCKETS, 3))
+    page = htmltext.blocks("x<div class='a b'><p>y <a href=u>z</a><ul id=q><li>1<li><i>2</i></ul></div><a>w")
+    assert [b.text for b in page] == ["x", "y z", "1", "2", "w"]
+    assert np.allclose(htmltext.path_vectors(page, table), [table[htmltext.path_bag(b.node)].sum(axis=0) for b in page])
+
+
 def test_labeller_on_pages_not_trained_on(labeller):
     right = total = 0
     for seed in range(50_000, 50_150):
@@ -463,6 +482,68 @@ def test_language(spark, awkward):
     assert language.Scorer(model).predict("eauxouletion")[0] == "fr" and language.Scorer(model).predict("12 34 --") == ("und", 0.0)
 
 
+def slow_scores(rows, text, order=language.ORDER):
+    """The backoff scorer by its definition, from counts of the training rows: ``{lang: score}`` or None."""
+
+    def split(t):
+        return "".join(c if c.isalpha() else " " for c in t.lower()).split()
+
+    langs = sorted({lang for lang, _ in rows})
+    counts = {lang: [Counter() for _ in range(order + 1)] for lang in langs}
+    for lang, t in rows:
+        for w in split(t):
+            counts[lang][0][w] += 1
+            for n in range(1, order + 1):
+                counts[lang][n].update(f"^{w}$"[i : i + n] for i in range(len(w) + 3 - n))
+    size = [len(set().union(*(counts[lang][n] for lang in langs))) for n in range(order + 1)]
+    total = {lang: [sum(counts[lang][n].values()) for n in range(order + 1)] for lang in langs}
+
+    def scores(n, x):
+        if not any(counts[lang][n][x] for lang in langs):
+            return None
+        logs = [np.log((counts[lang][n][x] + 0.5) / (total[lang][n] + 0.5 * size[n])) for lang in langs]
+        return np.array(logs) - np.mean(logs)
+
+    out = np.zeros(len(langs))
+    for w in split(text):
+        found = scores(0, w)
+        if found is None:
+            shown, at, used = f"^{w}$", 0, []
+            while at < len(shown):
+                for n in range(min(order, len(shown) - at), 0, -1):
+                    if (s := scores(n, shown[at : at + n])) is not None:
+                        used.append(s)
+                        at += max(1, n - 1)
+                        break
+                else:
+                    at += 1
+            found = np.mean(used, axis=0) if used else np.zeros(len(langs))
+        out += found
+    return dict(zip(langs, out / np.sqrt(max(1, len(split(text))))))
+
+
+def test_language_scores_are_those_of_a_slow_scorer(monkeypatch):
+    monkeypatch.setattr(language, "WORD_CACHE", 5)
+    r = random.Random(17)
+    rows = [(lang, " ".join("".join(r.choice(letters) for _ in range(r.randint(1, 7))) for _ in range(60))) for lang, letters in (("aa", "abcde"), ("bb", "cdefg"), ("cc", "éßñab"))]
+    scorer = language.Scorer(language.Model(rows))
+    for _ in range(60):
+        text = " ".join([*("".join(r.choice("abcdefgéñxy") for _ in range(r.randint(1, 9))) for _ in range(r.randint(1, 8))), *r.sample(rows[r.randrange(3)][1].split(), 2), "½ x2y"])
+        want = slow_scores(rows, text)
+        lang, score = scorer.predict(text)
+        best = max(want.values())
+        assert want[lang] >= best - 1e-9 and abs(score - 1 / sum(np.exp(v - best) for v in want.values())) < 1e-9
+    assert [scorer.predict(t) for t in ("½ ² ①", "12_3", "", None)] == [("und", 0.0)] * 4 and scorer.predict("½a")[0] != "und"
+
+
+def test_language_fit_is_bounded_where_an_id_repeats(spark):
+    rows = [(7, f"word{i} of seven", "en") for i in range(500)] + [(i, f"wort {i} hier", "de") for i in range(100, 104)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for n in (3, 50):
+        model = language.fit(docs, rows=n)
+        assert 0 < len(model.langs) <= 2 and len(model.words) <= 4 + 2 * n
+
+
 # 10. Mixing
 
 
