@@ -94,14 +94,18 @@ def slices(batch: pa.RecordBatch, column: int = 0, limit: int = SLICE_BYTES) ->
 def map_texts(
     df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | StructType, *, column: int
 ) -> DataFrame:
-    """Apply ``function`` to Arrow batches of ``df`` cut by the bytes of the text in ``column``."""
+    """Apply ``function`` to Arrow batches of ``df`` cut by the bytes of the text in ``column``; columns go by their places."""
+    schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    plain = [f"c{i}" for i in range(len(schema))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, column):
-                yield function(piece)
+                yield pa.RecordBatch.from_arrays(function(piece).columns, plain)
 
-    return df.mapInArrow(run, schema)
+    # Column names may hold characters that can't be resolved.
+    given = df.toDF(*(f"c{i}" for i in range(len(df.columns))))
+    return given.mapInArrow(run, StructType([StructField(c, f.dataType) for c, f in zip(plain, schema)])).toDF(*schema.names)
 
 
 def components(edges: DataFrame, *, rounds: int = 60) -> DataFrame:

@@ -30,25 +30,29 @@ KINDS = ("assign", "access", "hex", "entropy")
 
 @dataclass(frozen=True)
 class CharacterClass:
-    """Candidates of one class: their pattern, the window, and the least entropy in bits a character."""
+    """Candidates of one class: their pattern, the window, the least entropy in bits a character, and what each must hold."""
 
     name: str
     pattern: re.Pattern
     window: int
     least: float
+    holds: tuple[re.Pattern, ...] = ()
 
 
-#: The narrower class first; a candidate of the wide class that is all of the narrow one is left to it.
+#: The narrower class first; a candidate of a wide class that is all of the narrow one is left to it.
+#: A short string is a candidate only if it mixes cases and digits.
 CLASSES = (
     CharacterClass("hex", re.compile(r"(?<![0-9A-Za-z])[0-9A-Fa-f]{24,}(?![0-9A-Za-z])"), 24, 3.0),
     CharacterClass("base64", re.compile(r"[0-9A-Za-z+/_-]{24,}={0,2}"), 24, 3.9),
+    CharacterClass("short", re.compile(r"(?<![0-9A-Za-z+/_-])[0-9A-Za-z+/_-]{16,23}(?![0-9A-Za-z+/_=-])"), 16, 3.5, tuple(map(re.compile, ("[0-9]", "[a-z]", "[A-Z]")))),
 )
 
+# Words of one case and camel case: after capitals come two small letters at least. A random mix of cases doesn't look so.
+_WORDS = "[a-z]*+(?:[A-Z]++[a-z]{2,}+)*+[A-Z]*+"
 #: Strings that look random but are public by nature.
 ALLOWED = (
     re.compile(r"[0-9+/_=-]*"),  # numbers, rules of dashes
-    re.compile(r"[A-Za-z]++(?:[/_-][A-Za-z]*+)?+"),  # words
-    re.compile(r"(?:[a-z]+|[A-Z][a-z]+|[A-Z]+)(?:[/_-]+(?:[a-z]+|[A-Z][a-z]+|[A-Z]+|[0-9]{1,4}))+"),  # paths, slugs
+    re.compile(rf"{_WORDS}(?:[/_-]++(?:[0-9]{{1,4}}+|{_WORDS}))*+"),  # words, paths, slugs
     re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"),  # UUIDs
 )
 
@@ -118,7 +122,7 @@ def entropy_spans(text: str, settings: Settings = Settings()) -> list[tuple[int,
             found = m[0]
             if found in settings.allowed_strings or any(p.fullmatch(found) for p in settings.allowed):
                 continue
-            if number and settings.classes[0].pattern.fullmatch(found):
+            if number and settings.classes[0].pattern.fullmatch(found) or not all(p.search(found) for p in kind.holds):
                 continue
             out += [(m.start() + a, m.start() + b, 3) for a, b in dense_runs(found, kind.window, kind.least)]
     return out
@@ -185,11 +189,15 @@ def redacted(text: str | None, settings: Settings = Settings()) -> str | None:
 
 
 def redact(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """``docs`` with secrets replaced in ``text``; ``n_chars``, if there, follows. All rows stay."""
+    """``docs`` with secrets replaced in ``text``; ``n_chars``, if there, follows.
+
+    All rows and other columns stay as they are, whatever their names, null and repeated ids too; a null or empty
+    text stays so; an empty table gives no rows. A text is read whole, whatever its length.
+    """
     texts = docs.columns.index("text")
 
     def change(batch: pa.RecordBatch) -> pa.RecordBatch:
         return batch.set_column(texts, "text", pa.array([redacted(t, settings) for t in batch.column(texts).to_pylist()], pa.string()))
 
-    out = map_texts(docs, change, docs.schema.simpleString()[7:-1], column=texts)
+    out = map_texts(docs, change, docs.schema, column=texts)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out

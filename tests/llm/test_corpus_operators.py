@@ -362,6 +362,30 @@ def test_secrets(spark, awkward):
     assert texts == ["see <entropy> there"]
 
 
+def test_secrets_in_letters_alone_and_short_ones():
+    r = random.Random(22)
+    missed = [0, 0]
+    for _ in range(1000):
+        key = "".join(r.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(32))
+        missed[0] += not secrets.entropy_spans(f"x {key} y")
+        key = "".join(r.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(20))
+        missed[1] += not secrets.entropy_spans(f"x {key} y")
+    assert missed[0] < 50 and missed[1] < 100
+    for plain in ("donaudampfschifffahrtsgesellschaft", "AbstractSingletonProxyFactoryBean", "XMLHttpRequestUploadProgressEvent", "usr/share/Man-2024/some_longer_File", "INTERNATIONALIZATIONSUPPORT", "2024-01-31_12-59-59_0001"):
+        assert not secrets.entropy_spans(plain), plain
+    long = "aB" * 50_000 + "-" * 50_000 + "é"
+    began = time.perf_counter()
+    secrets.all_spans(long)
+    assert time.perf_counter() - began < 5
+
+
+def test_redaction_keeps_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "token=abcdefgh12", 1, 2.0, "x"), (None, None, None, None, None)], "doc_id long, text string, `my col` int, `a.b` double, `spans``` string")
+    found = secrets.redact(docs)
+    assert found.columns == docs.columns
+    assert Counter(map(tuple, found.collect())) == Counter([(1, "<assign>", 1, 2.0, "x"), (None,) * 5])
+
+
 def test_entropy_windows():
     r = random.Random(4)
     for _ in range(50):
