@@ -3,11 +3,10 @@
 Time is divided into slots of one block. The j-th block of a source with weight w is
 released at floor(j / w) and due at ceil((j + 1) / w); in each slot the released block
 with the earliest deadline goes. On one stream that schedule meets every deadline, so at
-any point a source is less than one block from its weight's share. Weights are exact
-fractions. The driver finds the schedule from the sources' numbers of blocks alone: one
-period of it where the weights have a common denominator of at most ``resolution``, and
-otherwise, as with square roots, every block; a document's place then follows from its
-rank in its source.
+any point a source is less than one block from its weight's share. Weights are whole
+numbers, a source's share being its number over the sum, so all of this is exact, and the
+schedule repeats after as many slots as that sum. The driver finds one period of it from
+the sources' numbers of blocks; a document's place then follows from its rank in its source.
 
 When a source runs out a new phase begins, with the others' weights in proportion.
 """
@@ -18,64 +17,77 @@ import heapq
 import math
 from fractions import Fraction
 
-import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Documents in a block, and the longest period of a schedule that is repeated (and the most sources).
-BLOCK, RESOLUTION = 32, 1000
-#: Rows of one source that are ranked together, about.
-RANKED = 2_000
+from .common import quoted
 
+#: Documents in a block; the sum of the default weights, at least; the most sources.
+BLOCK, RESOLUTION, MOST_SOURCES = 32, 1000, 20_000
+#: Slots after which a schedule is repeated at the latest; beyond, every block is scheduled.
+LONGEST = 100_000
+#: Rows of one source that are ranked together, about, and parts whose sizes are summed together.
+RANKED, SUMMED = 2_000, 1024
+#: A plan of more places isn't broadcast but joined by shuffle.
+BROADCAST = 1_000_000
+PLACES = ("block", "phase", "slot", "position", "release", "deadline", "deviation")
 
-def shares(weights: list[float], slots: int = 1) -> list[Fraction]:
-    """The exact number of blocks of each source in ``slots`` slots. A float is the decimal that it is shown as."""
-    exact = [Fraction(str(w)) for w in weights]
-    total = sum(exact)
-    return [slots * w / total for w in exact]
 
+def whole_numbers(weights: dict) -> dict:
+    """The weights as whole numbers in the same proportion. A float is the decimal that it is shown as."""
+    exact = {s: Fraction(str(w)) for s, w in weights.items()}
+    scale = math.lcm(*(w.denominator for w in exact.values()))
+    found = {s: int(w * scale) for s, w in exact.items()}
+    divisor = math.gcd(*found.values())
+    return {s: w // divisor for s, w in found.items()}
 
-def schedule(share: list[Fraction], blocks: list[int], resolution: int) -> tuple[int, list[list[tuple[int, int, int]]]]:
-    """``(period, places)``: the ``(slot, release, deadline)`` of each source's blocks, earliest deadline first among the released.
 
-    The period is the least common denominator of the shares where that is at most ``resolution``: the
-    schedule repeats after it, as all of its deadlines are met. Otherwise it is 0, and the schedule ends with the
-    slot in which the first source has no more of its ``blocks``.
+def default_weights(counts: dict, resolution: int = RESOLUTION) -> dict:
+    """Whole numbers, 1 at least, in proportion to the square roots of the sources' rows; their sum is about ``resolution`` or twice the number of sources."""
+    total, wanted = sum(math.sqrt(n) for n in counts.values()), max(resolution, 2 * len(counts))
+    return {s: max(1, round(wanted * math.sqrt(n) / total)) for s, n in counts.items()}
+
+
+def schedule(weights: list[int], blocks: list[int], longest: int = LONGEST) -> tuple[int, list[list[int]]]:
+    """``(period, slots)``: the slots of each source's blocks, earliest deadline first among the released.
+
+    The schedule ends with the period, or with the slot in which the first source has no more of its
+    ``blocks``; the period is 0 if that comes first or if it is more than ``longest``.
     """
-    period = math.lcm(*(w.denominator for w in share))
-    if period > resolution:
-        period = 0
-    # Of block j: floor(j / w) and ceil((j + 1) / w), in whole numbers.
-    window = lambda s, j: (j * share[s].denominator // share[s].numerator, -(-(j + 1) * share[s].denominator // share[s].numerator))
-    places: list[list[tuple[int, int, int]]] = [[] for _ in share]
-    waiting, ready, slot = [(0, s) for s in range(len(share))], [], 0
+    divisor = math.gcd(*weights)
+    weights = [w // divisor for w in weights]
+    total = sum(weights)
+    period = total if total <= longest else 0
+    places: list[list[int]] = [[] for _ in weights]
+    waiting, ready, slot = [(0, s) for s in range(len(weights))], [], 0
     while not period or slot < period:
         while waiting and waiting[0][0] <= slot:
             s = heapq.heappop(waiting)[1]
-            heapq.heappush(ready, (window(s, len(places[s]))[1], s))
-        due, s = heapq.heappop(ready)
-        places[s].append((slot, window(s, len(places[s]))[0], due))
-        if not period and len(places[s]) == blocks[s]:
-            break
-        heapq.heappush(waiting, (window(s, len(places[s]))[0], s))
+            heapq.heappush(ready, (-(-(len(places[s]) + 1) * total // weights[s]), s))
+        s = heapq.heappop(ready)[1]
+        places[s].append(slot)
+        if len(places[s]) == blocks[s]:
+            return 0, places
+        heapq.heappush(waiting, (len(places[s]) * total // weights[s], s))
         slot += 1
     return period, places
 
 
-def phases(blocks: dict, weights: dict, resolution: int) -> list[dict]:
+def phases(blocks: dict, weights: dict, longest: int = LONGEST) -> list[tuple]:
     """A row for each phase and source with blocks in it: where they stand. Plain numbers, one set for each source."""
     left, done, base, out = dict(blocks), dict.fromkeys(blocks, 0), 0, []
     number = 0
     while left:
         names = sorted(left, key=lambda s: (s is not None, s))
-        share = shares([weights[s] for s in names])
-        period, places = schedule(share, [left[s] for s in names], resolution)
-        at = lambda i, j: j // len(places[i]) * period + places[i][j % len(places[i])][0]  # noqa: B023, E731
-        end = (min(at(i, left[s] - 1) for i, s in enumerate(names)) if period else max(p[-1][0] for p in places if p)) + 1
+        given = [weights[s] for s in names]
+        divisor = math.gcd(*given)
+        period, places = schedule(given, [left[s] for s in names], longest)
+        at = lambda i, j: j // len(places[i]) * period + places[i][j % len(places[i])]  # noqa: B023, E731
+        end = (min(at(i, left[s] - 1) for i, s in enumerate(names)) if period else max(p[-1] for p in places if p)) + 1
         for i, s in enumerate(names):
-            n = end // period * len(places[i]) + sum(x[0] < end % period for x in places[i]) if period else len(places[i])
+            n = end // period * len(places[i]) + sum(x < end % period for x in places[i]) if period else len(places[i])
             if n:
-                out.append({"plan_source": s, "phase": number, "first": done[s], "n": n, "base": base, "period": period, "share": float(share[i]), "places": places[i][:n]})
+                out.append((s, number, done[s], n, base, period, given[i] // divisor, sum(given) // divisor, places[i][:n]))
             done[s] += n
             left[s] -= n
             if not left[s]:
@@ -84,13 +96,68 @@ def phases(blocks: dict, weights: dict, resolution: int) -> list[dict]:
     return out
 
 
-def planned(spark, rows: list[dict]) -> DataFrame:
-    """The plan as a table; the places are three arrays."""
-    columns = {"plan_source": pa.string(), "phase": pa.int32(), "first": pa.int64(), "n": pa.int64(), "base": pa.int64(), "period": pa.int64(), "share": pa.float64()}
-    arrays = {c: pa.array([r[c] for r in rows], kind) for c, kind in columns.items()}
-    for i, c in enumerate(("slots", "releases", "deadlines")):
-        arrays[c] = pa.array([[x[i] for x in r["places"]] for r in rows], pa.list_(pa.int64()))
-    return spark.createDataFrame(pa.table(arrays))
+PLAN = "plan_source string, phase int, first long, n long, base long, period long, weight decimal(38,0), total decimal(38,0), slots array<long>"
+
+
+def planned(spark, rows: list[tuple]) -> DataFrame:
+    from decimal import Decimal
+
+    return spark.createDataFrame([(*r[:6], Decimal(r[6]), Decimal(r[7]), r[8]) for r in rows], PLAN)
+
+
+def ranked(docs: DataFrame, count: int) -> DataFrame:
+    """``(row, source, rank)``: the rows' order in their source, by a hash of the id, then by all that is in them."""
+    fields = [f for f in docs.schema.fields if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    source, parts = quoted("source").cast("string").alias("source"), max(1, -(-count // RANKED))
+    hashed = F.xxhash64(quoted("doc_id"), F.lit("mix"))
+    tied = F.xxhash64(*(quoted(f.name) for f in fields))
+    dealt = docs.select(F.struct(*map(quoted, docs.columns)).alias("row"), source, hashed.alias("hash"), tied.alias("tied"), F.pmod(hashed, F.lit(parts)).alias("part"))
+    # Hash buckets of bounded size are ranked apart; the rows in the buckets before come from sums of bounded numbers of buckets.
+    sizes = docs.select(source, F.pmod(hashed, F.lit(parts)).alias("part")).groupBy("source", "part").agg(F.count("*").alias("n"))
+    sizes = sizes.withColumn("group", F.floor(F.col("part") / SUMMED))
+    earlier = lambda c, by, *keys: F.sum(c).over(Window.partitionBy("source", *keys).orderBy(by)) - F.col(c)
+    groups = sizes.groupBy("source", "group").agg(F.sum("n").alias("n")).select(F.col("source").alias("of"), F.col("group").alias("in"), earlier("n", "group").alias("lower"))
+    before = sizes.join(groups.hint("merge"), F.col("source").eqNullSafe(F.col("of")) & (F.col("group") == F.col("in"))).select(
+        F.col("source").alias("size_source"), F.col("part").alias("size_part"), (F.col("lower") + earlier("n", "part", "group")).alias("before")
+    )
+    within = Window.partitionBy("source", "part").orderBy("hash", "tied")
+    found = dealt.withColumn("nth", F.row_number().over(within) - 1)
+    found = found.join(before, F.col("source").eqNullSafe(F.col("size_source")) & (F.col("part") == F.col("size_part")))
+    return found.select("row", "source", (F.col("nth") + F.col("before")).alias("rank"))
+
+
+def places(docs: DataFrame, weights: dict | None, block: int, resolution: int, longest: int = LONGEST, broadcast: int = BROADCAST) -> DataFrame:
+    """``(row, *PLACES)`` for each row of ``docs``, its columns in the struct ``row``."""
+    source = quoted("source").cast("string").alias("source")
+    counts = {r["source"]: r["count"] for r in docs.groupBy(source).count().limit(MOST_SOURCES + 1).collect()}
+    if len(counts) > MOST_SOURCES:
+        raise ValueError(f"more than {MOST_SOURCES} sources: group them")
+    given = default_weights(counts, resolution) if weights is None else {s: weights.get(s, 0) for s in counts}
+    if missing := [s for s, w in given.items() if not w > 0]:
+        raise ValueError(f"sources without a positive weight: {missing[:10]}")
+    plan = phases({s: -(-n // block) for s, n in counts.items()}, whole_numbers(given) if counts else {}, longest)
+    table, each = planned(docs.sparkSession, plan), ranked(docs, sum(counts.values())).withColumn("block", F.floor(F.col("rank") / block))
+    j = F.col("block") - F.col("first")
+    if sum(len(r[8]) for r in plan) + len(plan) <= broadcast:
+        inside = (F.col("block") >= F.col("first")) & (F.col("block") < F.col("first") + F.col("n"))
+        each = each.join(F.broadcast(table), F.col("source").eqNullSafe(F.col("plan_source")) & inside)
+        each = each.withColumn("slot_", F.get("slots", (j % F.size("slots")).cast("int")))
+    else:
+        # One row for each block, joined by source and block: a key has a block's documents.
+        table = table.select("*", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("plan_block"))
+        table = table.withColumn("slot_", F.get("slots", ((F.col("plan_block") - F.col("first")) % F.size("slots")).cast("int"))).withColumn("size", F.size("slots")).drop("slots")
+        each = each.join(table.hint("merge"), F.col("source").eqNullSafe(F.col("plan_source")) & (F.col("block") == F.col("plan_block")))
+    size: Column = F.size("slots") if "slots" in each.columns else F.col("size")
+    # Block j is block j % size of its period, so many periods later.
+    each = each.withColumn("j", j).withColumn("slot", F.col("base") + F.floor(j / size) * F.col("period") + F.col("slot_"))
+    exact = lambda sql: F.expr(f"cast({sql} as long)")
+    release = exact("base + cast(j as decimal(19,0)) * total div weight")
+    deadline = exact("base + (cast(j + 1 as decimal(19,0)) * total + weight - 1) div weight")
+    share = F.col("weight").cast("double") / F.col("total").cast("double")
+    return each.select(
+        "row", "block", "phase", "slot", (F.col("slot") * block + F.col("rank") % block).alias("position"), release.alias("release"), deadline.alias("deadline"),
+        (F.col("j") + 1 - (F.col("slot") - F.col("base") + 1) * share).alias("deviation"),
+    )
 
 
 def mix(docs: DataFrame, *, weights: dict | None = None, block: int = BLOCK, resolution: int = RESOLUTION) -> DataFrame:
@@ -98,50 +165,20 @@ def mix(docs: DataFrame, *, weights: dict | None = None, block: int = BLOCK, res
 
     ``mix_position`` orders the stream; ``mix_deviation`` is how far its source is, in blocks, from its
     weight's share after that slot of the phase, always between -1 and 1. No row is dropped or repeated.
-    Without ``weights`` a source's weight is the square root of its rows. A null source is a source of its own;
-    rows with null or repeated ids stay; a source that ``weights`` leaves out is an error, as is a
-    weight that isn't positive or more sources than ``resolution``. An empty table gives no rows.
+    Without ``weights`` a source's weight is a whole number in proportion to the square root of its rows
+    (``default_weights``). A null source is a source of its own; rows with null or repeated ids stay, and rows that
+    are equal in all columns take each other's places. A source that ``weights`` leaves out is an error, as is a
+    weight that isn't positive or more than ``MOST_SOURCES`` sources. Columns of ``docs`` that have one of the new
+    names are replaced; others may have any name. Texts aren't read. An empty table gives no rows.
     """
-    spark = docs.sparkSession
-    counts = {r["source"]: r["count"] for r in docs.groupBy("source").count().limit(resolution + 1).collect()}
-    if len(counts) > resolution:
-        raise ValueError(f"more than {resolution} sources: raise the resolution or group them")
-    given = {s: math.sqrt(n) for s, n in counts.items()} if weights is None else weights
-    if missing := [s for s in counts if not given.get(s, 0) > 0]:
-        raise ValueError(f"sources without a positive weight: {missing[:10]}")
-    table = planned(spark, phases({s: -(-n // block) for s, n in counts.items()}, given, resolution))
-
-    # Rank within a source: hash buckets of bounded size, ranked apart, and the buckets before.
-    parts = max(1, -(-sum(counts.values()) // RANKED))
-    h = F.xxhash64("doc_id", F.lit("mix"))
-    dealt = docs.withColumn("mix_hash", h).withColumn("mix_part", F.pmod("mix_hash", F.lit(parts)))
-    sizes = docs.select("source", F.pmod(h, F.lit(parts)).alias("mix_part")).groupBy("source", "mix_part").count()
-    before = sizes.select(
-        F.col("source").alias("size_source"), F.col("mix_part").alias("size_part"),
-        (F.sum("count").over(Window.partitionBy("source").orderBy("mix_part")) - F.col("count")).alias("mix_before"),
-    )
-    within = Window.partitionBy("source", "mix_part").orderBy("mix_hash", "doc_id")
-    ranked = dealt.withColumn("mix_rank", F.row_number().over(within) - 1)
-    ranked = ranked.join(before, F.col("source").eqNullSafe(F.col("size_source")) & (F.col("mix_part") == F.col("size_part")))
-    ranked = ranked.withColumn("mix_rank", F.col("mix_rank") + F.col("mix_before")).withColumn("mix_block", F.floor(F.col("mix_rank") / block))
-
-    inside = (F.col("mix_block") >= F.col("first")) & (F.col("mix_block") < F.col("first") + F.col("n"))
-    placed = ranked.join(F.broadcast(table), F.col("source").eqNullSafe(F.col("plan_source")) & inside)
-    j = F.col("mix_block") - F.col("first")
-    # Block j is block j % size of its period, so many periods later.
-    later = F.col("base") + F.floor(j / F.size("slots")) * F.col("period")
-    of = lambda column: later + F.get(column, (j % F.size("slots")).cast("int"))
-    placed = placed.select("*", *(of(c).alias(f"mix_{c[:-1]}") for c in ("slots", "releases", "deadlines")))
-    return placed.select(
-        *docs.columns, "mix_block", F.col("phase").alias("mix_phase"), "mix_slot",
-        (F.col("mix_slot") * block + F.col("mix_rank") % block).alias("mix_position"),
-        "mix_release", "mix_deadline",
-        (j + 1 - (F.col("mix_slot") - F.col("base") + 1) * F.col("share")).alias("mix_deviation"),
-    )
+    new = [f"mix_{c}" for c in PLACES]
+    kept = [c for c in docs.columns if c.lower() not in new]
+    found = places(docs, weights, block, resolution)
+    return found.select(*(F.col("row").getField(c).alias(c) for c in kept), *(F.col(c).alias(n) for c, n in zip(PLACES, new)))
 
 
-def in_order(mixed: DataFrame) -> DataFrame:
-    """The stream itself: rows sorted by position over all partitions, without the columns of the plan."""
-    kept = [c for c in mixed.columns if not c.startswith("mix_") or c == "mix_position"]
-    ordered = mixed.select(*kept).repartitionByRange("mix_position").sortWithinPartitions("mix_position")
-    return ordered.drop("mix_position")
+def in_order(docs: DataFrame, *, weights: dict | None = None, block: int = BLOCK, resolution: int = RESOLUTION) -> DataFrame:
+    """The stream itself: the rows of ``docs``, sorted by their position in the mix over all partitions."""
+    found = places(docs, weights, block, resolution).select("row", "position")
+    ordered = found.repartitionByRange("position").sortWithinPartitions("position")
+    return ordered.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))

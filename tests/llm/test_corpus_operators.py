@@ -1,11 +1,13 @@
 """The corpus operators against brute force, on small tables and on awkward ones."""
 
 import hashlib
+import math
 import random
 import re
 import time
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -571,53 +573,91 @@ def test_language_fit_is_bounded_where_an_id_repeats(spark):
 # 10. Mixing
 
 
-def test_mixing_keeps_to_the_weights(spark, awkward):
+def slow_places(weights, blocks):
+    """Earliest deadline first by its definition, slot by slot over fractions; a new phase when a source runs out."""
+    left, done, out = dict(blocks), dict.fromkeys(blocks, 0), {}
+    base = t = phase = 0
+    start = dict(done)
+    while left:
+        total = sum(weights[s] for s in left)
+        share = {s: Fraction(weights[s]) / total for s in left}
+        ready = []
+        for s in left:
+            j = done[s] - start[s]
+            if math.floor(j / share[s]) <= t - base:
+                ready.append((math.ceil((j + 1) / share[s]), s is not None, s if s is not None else "", s))
+        s = min(ready)[-1]
+        out[s, done[s]] = (phase, t)
+        done[s] += 1
+        left[s] -= 1
+        t += 1
+        if not left[s]:
+            del left[s]
+            base, phase, start = t, phase + 1, dict(done)
+    return out
+
+
+@pytest.mark.parametrize("weights", [[0.9, 0.1], [0.7, 0.2, 0.1], [0.999, 0.001], [19.0] + [1.0] * 19, [0.333333333, 0.5, 0.7]])
+def test_schedule_keeps_to_the_target_weights(weights):
+    exact = mixing.whole_numbers(dict(enumerate(weights)))
+    period, slots = mixing.schedule(list(exact.values()), [100_000] * len(weights))
+    total = sum(map(Fraction, map(str, weights)))
+    order = {t: s for s, some in enumerate(slots) for t in some}
+    done = [0] * len(weights)
+    for t in range(100_000):
+        if period:
+            done[order[t % period]] += 1
+        elif t in order:
+            done[order[t]] += 1
+        else:
+            break
+        if t % 7 == 0 or t < 500:
+            assert all(abs(d - (t + 1) * Fraction(str(w)) / total) < 1 for d, w in zip(done, weights))
+    assert t > 50_000
+    blocks = {s: 40 + 7 * s for s in range(len(weights))}
+    slow = slow_places({s: Fraction(str(w)) for s, w in enumerate(weights)}, blocks)
+    found = {}
+    for s, phase, first, n, base, period, _, _, some in mixing.phases(blocks, exact):
+        for j in range(n):
+            found[s, first + j] = (phase, base + j // len(some) * period + some[j % len(some)])
+    assert found == slow
+
+
+@pytest.mark.parametrize("broadcast", [mixing.BROADCAST, 0])
+def test_mixing_is_the_slow_schedule(spark, awkward, broadcast):
     r = random.Random(8)
     rows = [(i, r.choice(["a"] * 6 + ["b"] * 3 + ["c", None])) for i in range(3000)]
     table = spark.createDataFrame(rows, "doc_id long, source string").repartition(3)
     weights = {"a": 0.2, "b": 0.5, "c": 0.2, None: 0.1}
-    found = mixing.mix(table, weights=weights, block=8, resolution=100).collect()
-    assert Counter((x.doc_id, x.source) for x in found) == Counter(rows)
-    assert len({x.mix_position for x in found}) == len(rows)
-    slots = {}
-    for x in found:
-        assert slots.setdefault(x.mix_slot, (x.source, x.mix_phase, x.mix_block)) == (x.source, x.mix_phase, x.mix_block)
-        assert x.mix_release <= x.mix_slot < x.mix_deadline and -1 < x.mix_deviation < 1
-    assert sorted(slots) == list(range(len(slots)))
-    first = [slots[t] for t in range(len(slots)) if slots[t][1] == 0]
-    share = dict(zip([None, "a", "b", "c"], mixing.shares([0.1, 0.2, 0.5, 0.2], 100)))
-    done = Counter()
-    for t, (source, _, _) in enumerate(first, 1):
-        done[source] += 1
-        assert all(abs(done[s] - t * share[s] / 100) < 1 for s in share)
-    ordered = [x.doc_id for x in mixing.in_order(mixing.mix(table, weights=weights, block=8, resolution=100)).collect()]
-    assert ordered == [x.doc_id for x in sorted(found, key=lambda x: x.mix_position)]
+    for given in (weights, {"a": 1 / 3, "b": 0.123456789, "c": 2.0, None: 0.7}):
+        found = mixing.places(table, given, 8, 100, longest=1000, broadcast=broadcast).select("row.*", *mixing.PLACES).collect()
+        assert Counter((x.doc_id, x.source) for x in found) == Counter(rows)
+        slow = slow_places({s: Fraction(str(w)) for s, w in given.items()}, {s: -(-n // 8) for s, n in Counter(s for _, s in rows).items()})
+        assert {(x.source, x.block): (x.phase, x.slot) for x in found} == slow
+        assert len({x.position for x in found}) == len(rows)
+        first: dict[int, int] = {}
+        for x in found:
+            first[x.phase] = min(x.slot, first.get(x.phase, x.slot))
+        for x in found:
+            assert x.release <= x.slot < x.deadline and -1 < x.deviation < 1 and x.release >= first[x.phase]
+    ordered = [x.doc_id for x in mixing.in_order(table, weights=weights, block=8).collect()]
+    assert ordered == [x.doc_id for x in mixing.mix(table, weights=weights, block=8).orderBy("mix_position").collect()]
     assert mixing.mix(awkward).count() == awkward.count()
     with pytest.raises(ValueError):
         mixing.mix(table, weights={"a": 1.0})
 
 
-def test_mixing_keeps_to_the_exact_weights(spark):
-    names = [f"s{i:02}" for i in range(20)]
-    rows = [(i, names[0] if i % 2 else names[1 + i // 2 % 19]) for i in range(12_000)]
-    table = spark.createDataFrame(rows, "doc_id long, source string")
-    # Equal halves, a period of 38; square roots, which have none; decimals.
-    half = {s: 19.0 if s == names[0] else 1.0 for s in names}
-    for weights in (half, None, {s: 0.9 if s == names[0] else 0.1 for s in names}):
-        found = mixing.mix(table, weights=weights, block=2).collect()
-        counts = Counter(s for _, s in rows)
-        given = weights or {s: n**0.5 for s, n in counts.items()}
-        slots = {x.mix_slot: (x.mix_phase, x.source) for x in found}
-        assert sorted(slots) == list(range(6000)) or len(slots) == sum(-(-n // 2) for n in counts.values())
-        total, done, t = sum(given.values()), Counter(), 0
-        while slots.get(t, (1,))[0] == 0:
-            done[slots[t][1]] += 1
-            t += 1
-            assert all(abs(done[s] - t * given[s] / total) < 1 for s in names)
-        assert t > 500 and all(x.mix_release <= x.mix_slot < x.mix_deadline and -1 < x.mix_deviation < 1 for x in found)
-        for x in found:
-            if x.mix_phase == 0:
-                assert abs(x.mix_deviation - (x.mix_block + 1 - (x.mix_slot + 1) * given[x.source] / total)) < 1e-6
+def test_mixing_tables_with_clashing_columns_and_many_sources(spark):
+    names = ["n", "phase", "first", "base", "share", "places", "rank", "row", "block", "my col", "a.b", "mix_slot", "part", "hash"]
+    rows = [(i // 2, f"s{i % 1500}", *range(len(names))) for i in range(9000)]
+    table = spark.createDataFrame(rows, "doc_id long, source string, " + ", ".join(f"`{c}` int" for c in names))
+    found = mixing.mix(table)
+    assert found.columns == [c for c in table.columns if c != "mix_slot"] + [f"mix_{c}" for c in mixing.PLACES]
+    got = found.select("doc_id", "source", "mix_position", "mix_deviation").collect()
+    assert sorted((x.doc_id, x.source) for x in got) == sorted(r[:2] for r in rows) and len({x.mix_position for x in got}) == 9000
+    assert all(-1 < x.mix_deviation < 1 for x in got)
+    few = table.where("source in ('s1', 's2')")
+    assert mixing.in_order(few).columns == table.columns and sorted(map(tuple, mixing.in_order(few).collect())) == sorted(map(tuple, few.collect()))
 
 
 # All of them together
