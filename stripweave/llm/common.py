@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 #: Bytes of text that a Python worker handles at a time (a longer text comes alone).
 SLICE_BYTES = 8 << 20
@@ -58,24 +58,24 @@ def fresh(name: str, taken: list[str]) -> str:
     return name
 
 
-def split_join(left: DataFrame, right: DataFrame, on: list[str], *, least: int = HOT_ROWS) -> DataFrame:
+def split_join(left: DataFrame, right: DataFrame, on: list[str], *, sizes: DataFrame | None = None, least: int = HOT_ROWS) -> DataFrame:
     """Inner join of a written table ``left`` with ``right``, which has few rows for a key, where a key may hold much of ``left``.
 
-    Keys with more than a thousandth of the rows of ``left`` (a thousand keys at most), and with ``least``, are
-    joined where their rows are, by broadcast; the rest meets by shuffle.
+    The rows of a key with more than a thousandth of ``left``, and with ``least``, go to as many tasks as it has
+    such parts, each with its copy of the key's rows of ``right``: a thousand keys and two thousand copies
+    at most. ``sizes(*on, _n)`` are the keys' rows, if they are known.
     """
-    sizes = left.groupBy(*on).agg(F.count("*").alias("_n"))
-    some = [r.asDict() for r in sizes.where(F.col("_n") > least).orderBy(F.desc("_n")).limit(1000).collect()]
-    if not some:
+    sizes = left.groupBy(*on).agg(F.count("*").alias("_n")) if sizes is None else sizes
+    hot = sizes.where(F.col("_n") > least).orderBy(F.desc("_n"), *on).limit(1000).collect()
+    if not hot:
         return left.join(right.hint("merge"), on)
-    count = left.count()
-    kinds = {f.name: f.dataType for f in left.schema.fields}
-    keys = [tuple(r[c] for c in on) for r in some if r["_n"] > count / 1000]
-    if not keys:
-        return left.join(right.hint("merge"), on)
-    hot = F.broadcast(left.sparkSession.createDataFrame(keys, StructType([StructField(c, kinds[c]) for c in on])))
-    near = left.join(F.broadcast(right.join(hot, on, "left_semi")), on)
-    return near.unionByName(left.join(hot, on, "left_anti").join(right.hint("merge"), on))
+    part = max(least, left.count() // 1000)
+    kinds = StructType([left.schema[c] for c in on] + [StructField("_parts", LongType())])
+    split = F.broadcast(left.sparkSession.createDataFrame([(*(r[c] for c in on), -(-r["_n"] // part)) for r in hot if r["_n"] > part], kinds))
+    parts = F.coalesce("_parts", F.lit(1))
+    dealt = left.join(split, on, "left").withColumn("_part", F.pmod(F.xxhash64(*map(quoted, left.columns)), parts)).drop("_parts")
+    copied = right.join(split, on, "left").withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).drop("_parts")
+    return dealt.join(copied.hint("merge"), [*on, "_part"]).drop("_part")
 
 
 def slices(batch: pa.RecordBatch, column: int = 0, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -113,7 +113,7 @@ def components(edges: DataFrame, *, rounds: int = 60) -> DataFrame:
 
     Alternating large-star and small-star steps, which need O(log^2 n) rounds and emit
     at most as many edges as they get. Each step aggregates a minimum per node before
-    it joins, so a node with very many edges is a split join, not one task's work.
+    it joins, and the join of a node with very many edges is split.
     Ids in no edge are not returned; loops and nulls are ignored.
     """
     edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
@@ -122,11 +122,12 @@ def components(edges: DataFrame, *, rounds: int = 60) -> DataFrame:
     for _ in range(rounds):
         # Large star: every larger neighbour of a node goes to the smallest of its neighbourhood.
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.min("a")).alias("m"))
+        large = split_join(both.where("b > a"), least, ["a"]).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        large = written(large, name="cc")
         # Small star: a node's smaller neighbours, and itself, go to the smallest of them.
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a")
+        small = split_join(large, least, ["a"])
         edges = (
             small.select(F.col("b").alias("a"), F.col("m").alias("b"))
             .where("a <> b")

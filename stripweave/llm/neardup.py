@@ -1,19 +1,23 @@
 """Near-duplicates by MinHash bands and odd sketches, confirmed on the full shingle sets.
 
-1. Texts with equal shingle sets form a class; its smallest id stands for it from here on.
+1. Texts with equal shingle sets form a class, which is compared once.
 2. Each class gets 130 MinHash samples. 26 bands of 5 samples give bucket keys: a pair at
    similarity 0.85 shares no bucket with probability below 3e-7. The samples are also folded
    into an odd sketch, a bitmap of parities: the XOR of two sketches has about as many bits
    as samples that differ, which tells high similarities apart in 32 bytes.
-3. Star round: in each bucket every member is compared with the smallest one by sketch, and
-   the pairs that may be links are confirmed on their sets. Its work is linear in a bucket.
-4. Rest round: buckets whose members are by now in several components are compared in
-   full, in blocks of bounded size, first by sketch and then on the sets, leaving out pairs
-   of one component. A block gives a spanning forest of its links and not all pairs.
+3. Star rounds: in each bucket every member is compared with one center by sketch, and the
+   pairs that may be links are confirmed on their sets. The work is linear in a bucket. As
+   long as much is left between components, further centers are taken from the bucket's main
+   component and from the rest, for the members outside the main one.
+4. Rest round: the members outside their bucket's main component are compared with all of
+   its members, in blocks of bounded size, first by sketch and then on the sets, leaving out
+   pairs of one component and, in large buckets, those that the triangle inequality rules
+   out. A block gives a spanning forest of its links and not all pairs.
 5. Components of all confirmed links, by star contraction.
 
 So no link between different texts that share a bucket is lost, no task holds a whole
-bucket, and groups of many similar texts don't give quadratic numbers of rows.
+bucket, and a group of many similar texts costs rows in proportion to its size, and to what
+lies outside its main component.
 """
 
 from __future__ import annotations
@@ -25,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, slices, written
+from .common import components, slices, split_join, written
 
 SHINGLE = 5
 BANDS, ROWS = 26, 5
@@ -37,6 +41,10 @@ PERCENT = 85
 MOST_BITS = 66
 #: Members of a bucket compared at a time in the rest round.
 BLOCK = 1024
+#: Further star rounds as long as the buckets that still span components would need more comparisons a member than this.
+STAR_ROUNDS, PAIRS = 6, 4 * BLOCK
+#: The width of a ring around a center, in distance; a little more than a link's greatest one.
+RING = 0.151
 #: Bytes of text hashed at a time; a longer text comes alone.
 HASHED_BYTES = 1 << 20
 
@@ -122,7 +130,14 @@ def band_keys(least: np.ndarray) -> np.ndarray:
     return mix(folded + np.arange(1, BANDS + 1, dtype=np.uint64) * _MULTIPLIER).view(np.int64)
 
 
-FEATURES = "doc_id long, n_shingles long, h1 long, h2 long, s0 long, s1 long, s2 long, s3 long, bands array<long>"
+FEATURES = "doc_id long, text_hash long, n_shingles long, h1 long, h2 long, s0 long, s1 long, s2 long, s3 long, bands array<long>"
+SKETCH = ["s0", "s1", "s2", "s3"]
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """A row's key is its id and its text's hash."""
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
 
 
 def features(docs: DataFrame) -> DataFrame:
@@ -130,9 +145,9 @@ def features(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in slices(batch, 1, HASHED_BYTES):
+            for piece in slices(batch, 2, HASHED_BYTES):
                 sizes, hashes, sketches, bands = [], [], [], []
-                for s in shingle_sets(piece.column(1).to_pylist()):
+                for s in shingle_sets(piece.column(2).to_pylist()):
                     sizes.append(len(s))
                     if not len(s):
                         hashes.append((None, None))
@@ -145,21 +160,23 @@ def features(docs: DataFrame) -> DataFrame:
                     sketches.append(odd_sketch(least).tolist())
                     bands.append(band_keys(least))
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column(0), pa.array(sizes, pa.int64()), *(pa.array(c, pa.int64()) for c in (*zip(*hashes), *zip(*sketches))), pa.array(bands, pa.list_(pa.int64()))],
-                    ["doc_id", "n_shingles", "h1", "h2", "s0", "s1", "s2", "s3", "bands"],
+                    [piece.column(0), piece.column(1), pa.array(sizes, pa.int64()), *(pa.array(c, pa.int64()) for c in (*zip(*hashes), *zip(*sketches))), pa.array(bands, pa.list_(pa.int64()))],
+                    ["doc_id", "text_hash", "n_shingles", "h1", "h2", *SKETCH, "bands"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, FEATURES)
+    return keyed(docs).mapInArrow(run, FEATURES)
 
 
-def full_sets(docs: DataFrame) -> DataFrame:
+def full_sets(texts: DataFrame) -> DataFrame:
+    """The shingle set of each row of ``texts(doc, text)``."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, 1, HASHED_BYTES):
                 found = [s.view(np.int64) for s in shingle_sets(piece.column(1).to_pylist())]
-                yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(found, pa.list_(pa.int64()))], ["id", "items"])
+                yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(found, pa.list_(pa.int64()))], ["doc", "items"])
 
-    return docs.mapInArrow(run, "id long, items array<long>")
+    return texts.mapInArrow(run, "doc long, items array<long>")
 
 
 def runs_of(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
@@ -185,33 +202,31 @@ def runs_of(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def near_by_sketch(sketch: np.ndarray, rows: slice) -> np.ndarray:
+def near_by_sketch(sketch: np.ndarray, rows: np.ndarray | list[int]) -> np.ndarray:
     """For some rows of ``sketch`` (n x 4 words), which others differ in few enough bits."""
     words = sketch.view(np.uint64)
-    return sum(np.bitwise_count(words[rows, None, i] ^ words[None, :, i]).astype(np.int16) for i in range(4)) <= MOST_BITS
+    return sum(np.bitwise_count(words[rows, i][:, None] ^ words[None, :, i]).astype(np.int16) for i in range(4)) <= MOST_BITS
 
 
-def _compared(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Ids, components, sketches and the half (in a pair of blocks) of a run's rows, each id once."""
-    ids = table["doc"].to_numpy()
-    _, keep = np.unique(ids, return_index=True)
-    get = lambda name: table[name].to_numpy()[keep]
-    sketch = np.ascontiguousarray(np.stack([get(f"s{i}") for i in range(4)], axis=1))
-    return ids[keep], get("component"), sketch, get("half")
+def _compared(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of a run's classes, each once: the ids, their first rows, components, sketches, and whether each is on the left and on the right."""
+    ids, first, place = np.unique(table["doc"].to_numpy(), return_index=True, return_inverse=True)
+    side = table["left"].to_numpy(zero_copy_only=False)
+    left, right = (np.bincount(place, side == x, len(ids)) > 0 for x in (True, False))
+    get = lambda name: table[name].to_numpy()[first]
+    return ids, first, get("component"), np.ascontiguousarray(np.stack([get(c) for c in SKETCH], axis=1)), left, right
 
 
 def candidates_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Members that may link, by sketch, to one of another component in their run."""
+    """Members that may link, by sketch, to one of another component on the other side of their run."""
     for table in runs_of(batches, 3):
-        ids, comp, sketch, half = _compared(table)
-        one = table["i"][0].as_py() == table["j"][0].as_py()
-        keep = np.zeros(len(ids), bool)
-        for a in range(0, len(ids), 256):
-            rows = slice(a, a + 256)
-            near = near_by_sketch(sketch, rows) & (comp[rows, None] != comp[None, :])
-            if not one:
-                near &= half[rows, None] != half[None, :]
-            keep[rows] = near.any(axis=1)
+        ids, _, comp, sketch, left, right = _compared(table)
+        keep, some = np.zeros(len(ids), bool), np.flatnonzero(left)
+        for a in range(0, len(some), 256):
+            rows = some[a : a + 256]
+            near = near_by_sketch(sketch, rows) & (comp[rows, None] != comp[None, :]) & right
+            keep[rows] |= near.any(axis=1)
+            keep |= near.any(axis=0)
         if keep.any():
             n = int(keep.sum())
             yield pa.RecordBatch.from_arrays([pa.array([table["key"][0].as_py()] * n, pa.int64()), pa.array(ids[keep])], ["key", "doc"])
@@ -220,10 +235,8 @@ def candidates_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
 def links_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A spanning forest of the confirmed links between components in each run."""
     for table in runs_of(batches, 3):
-        ids, comp, sketch, half = _compared(table)
-        one = table["i"][0].as_py() == table["j"][0].as_py()
-        _, keep = np.unique(table["doc"].to_numpy(), return_index=True)
-        sets = [table["items"][int(k)].values.to_numpy() for k in keep]
+        ids, first, comp, sketch, left, right = _compared(table)
+        sets = [table["items"][int(k)].values.to_numpy() for k in first]
         sizes = np.array([len(s) for s in sets])
         items, code = np.unique(np.concatenate(sets), return_inverse=True)
         owner = np.repeat(np.arange(len(ids)), sizes)
@@ -233,10 +246,8 @@ def links_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         of = np.split(code, np.cumsum(sizes)[:-1])
         _, label = np.unique(comp, return_inverse=True)
         out = []
-        for i in range(len(ids)):
-            may = near_by_sketch(sketch, slice(i, i + 1))[0] & (label != label[i])
-            if not one:
-                may &= half != half[i]
+        for i in np.flatnonzero(left):
+            may = near_by_sketch(sketch, [i])[0] & (label != label[i]) & right
             if not may.any():
                 continue
             shared = np.bincount(np.concatenate([posting[at[c] : at[c + 1]] for c in of[i]]), minlength=len(ids))
@@ -250,14 +261,81 @@ def links_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
+def open_buckets(members: DataFrame) -> DataFrame:
+    """Of the buckets whose members are in several components ``(key, main, n, others)``: the component with most, all members, and those not in it."""
+    each = members.groupBy("key", "component").agg(F.count("*").alias("n"))
+    found = each.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("n"), F.max("n").alias("most"))
+    return found.select("key", "main", "n", (F.col("n") - F.col("most")).alias("others")).where("others > 0")
+
+
+def sides(members: DataFrame) -> DataFrame:
+    """``(key, doc, component, left)`` from ``members(key, doc, component, main, ring)``: who meets whom.
+
+    Whoever is outside its bucket's main component is on the left, in its ring and the next ones, and all are on
+    the right in theirs. Of a ring's left members those of the most frequent component meet only the right
+    members outside it. Two members of different components in rings that touch meet somewhere.
+    """
+    outside = members.where("component <> main").select("key", F.explode(F.array(*(F.col("ring") + d for d in (-1, 0, 1)))).alias("ring"), "doc", "component")
+    most = outside.groupBy("key", "ring", "component").agg(F.count("*").alias("n")).groupBy("key", "ring").agg(F.max_by("component", F.struct("n", "component")).alias("most"))
+    most = written(most, name="most")
+    on, same = ["key", "ring"], F.col("component") == F.col("most")
+    left = split_join(written(outside, name="left"), most, on).select(F.xxhash64("key", "ring", same).alias("key"), "doc", "component", F.lit(True).alias("left"))
+    right = split_join(members.select("key", "ring", "doc", "component"), most, on)
+    right = right.select("key", "ring", "doc", "component", F.explode(F.when(same, F.array(F.lit(False))).otherwise(F.array(F.lit(True), F.lit(False)))).alias("meets"))
+    return left.unionByName(right.select(F.xxhash64("key", "ring", "meets").alias("key"), "doc", "component", F.lit(False).alias("left")))
+
+
 def in_blocks(members: DataFrame) -> DataFrame:
-    """Deal the members of each bucket ``key`` out to pairs of blocks ``(i, j)``, sorted for ``runs_of``."""
-    sizes = members.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = members.join(sizes, "key").withColumn("x", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    """Deal each bucket out to pairs of blocks ``(i, j)`` of its left and right members, sorted for ``runs_of``."""
+    blocks = lambda side: F.ceil(F.count_if(side) / BLOCK).cast("int")
+    sizes = members.groupBy("key").agg(blocks(F.col("left")).alias("lefts"), blocks(~F.col("left")).alias("rights")).where("lefts > 0 and rights > 0")
+    dealt = split_join(members, sizes, ["key"])
+    place = lambda n: F.pmod(F.xxhash64("doc"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     rest = [c for c in members.columns if c != "key"]
-    dealt = dealt.select("key", F.least("x", "y").alias("i"), F.greatest("x", "y").alias("j"), (F.col("x") <= F.col("y")).alias("half"), *rest)
-    return dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    left = dealt.where("left").select("key", place("lefts").alias("i"), every("rights").alias("j"), *rest)
+    right = dealt.where("not left").select("key", every("lefts").alias("i"), place("rights").alias("j"), *rest)
+    return left.unionByName(right).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+
+CLASS = ["h1", "h2", "n_shingles"]
+
+
+def grouped(docs: DataFrame, *, tie_ids: bool) -> tuple[DataFrame, DataFrame]:
+    """The documents' features, and the classes ``(doc, *CLASS, first, text_hash, rows, root)`` of equal sets.
+
+    ``doc`` numbers the classes; ``first`` and ``text_hash`` are the key of the row that stands for a class, ``root``
+    that ``(first, text_hash)`` of the class that stands for its component. With ``tie_ids`` the classes of one ``doc_id`` are linked.
+    """
+    found = written(features(docs), name="features")
+    usable = found.where("n_shingles > 0 and doc_id is not null")
+    classes = usable.groupBy(*CLASS).agg(
+        F.min(F.struct("doc_id", "text_hash")).alias("row"), F.count("*").alias("rows"), *(F.min(c).alias(c) for c in SKETCH), F.min("bands").alias("bands")
+    )
+    classes = classes.select(F.monotonically_increasing_id().alias("doc"), *CLASS, F.col("row.doc_id").alias("first"), F.col("row.text_hash").alias("text_hash"), "rows", *SKETCH, "bands")
+    classes = written(classes, name="classes")  # which settles the numbers
+    again = usable.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    again = written(again, name="again")
+    repeated = not again.isEmpty()
+    links = confirmed(docs, classes, repeated)
+    if repeated and tie_ids:
+        rows = split_join(written(usable.join(again, "doc_id", "left_semi").select("doc_id", *CLASS).distinct(), name="repeated"), classes.select(*CLASS, "doc"), CLASS)
+        rows = written(rows.select("doc_id", "doc").distinct(), name="repeated")
+        least = rows.groupBy("doc_id").agg(F.min("doc").alias("b"))
+        links = links.unionByName(split_join(rows, least, ["doc_id"]).where("doc <> b").select(F.col("doc").alias("a"), "b"))
+    comps = components(links)
+    own = F.struct("first", "text_hash")
+    joined = written(comps.withColumnRenamed("id", "doc").join(classes.select("doc", "first", "text_hash"), "doc"), name="joined")
+    roots = joined.groupBy("component").agg(F.min(own).alias("root"))
+    roots = split_join(joined.select("doc", "component"), roots, ["component"]).select("doc", "root")
+    classes = classes.drop(*SKETCH, "bands").join(roots, "doc", "left").withColumn("root", F.coalesce("root", own))
+    return found, written(classes, name="roots")
+
+
+def with_classes(found: DataFrame, classes: DataFrame) -> DataFrame:
+    """The rows that have a class, with its component's root; a set that many rows have is a split key."""
+    usable = found.where("n_shingles > 0 and doc_id is not null").select("doc_id", "text_hash", *CLASS)
+    return split_join(usable, classes.select(*CLASS, "root"), CLASS, sizes=classes.select(*CLASS, F.col("rows").alias("_n")))
 
 
 def linked(docs: DataFrame) -> DataFrame:
@@ -265,55 +343,96 @@ def linked(docs: DataFrame) -> DataFrame:
 
     Documents without words are linked with nothing, as are rows with a null ``doc_id`` (their
     ``component_id`` is null and they are kept). Rows that repeat a ``doc_id`` count as one document
-    with the links of each of them. Other columns are ignored; an empty table gives no rows.
+    with the links of each of them. Other columns are ignored; an empty table gives no rows. Texts are read
+    whole, whatever their length, and equal texts are always linked.
     """
-    found = written(features(docs), name="features")
-    usable = found.where("n_shingles > 0 and doc_id is not null")
-    classes = written(usable.groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("first")), name="classes")
-    links = written(confirmed(docs, usable, classes), name="links")
-    comps = components(links)
-    named = classes.join(comps.withColumnRenamed("id", "first"), "first", "left").select(
-        "h1", "h2", "n_shingles", F.coalesce("component", "first").alias("component_id")
-    )
-    out = found.select("doc_id", "n_shingles", "h1", "h2").join(named, ["h1", "h2", "n_shingles"], "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    found, classes = grouped(docs, tie_ids=True)
+    with_set = with_classes(found, classes).select("doc_id", "n_shingles", F.col("root.first").alias("component_id"))
+    # The other rows stand by themselves.
+    others = found.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    every = with_set.unionByName(others)
+    return every.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
-def confirmed(docs: DataFrame, usable: DataFrame, classes: DataFrame) -> DataFrame:
-    """Links ``(a, b)`` between classes, enough of them to connect whatever is connected."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    one = usable.join(classes.select(F.col("first").alias("doc_id")), "doc_id", "left_semi")
-    sketches = one.select(F.col("doc_id").alias("doc"), "s0", "s1", "s2", "s3").dropDuplicates(["doc"])
-    keyed = one.select(F.col("doc_id").alias("doc"), F.explode("bands").alias("key"))
-    stars = keyed.groupBy("key").agg(F.min("doc").alias("center"), F.count("*").alias("members")).where("members > 1")
-    shared = written(keyed.join(stars, "key"), name="shared")
-
-    pairs = shared.where("doc <> center").select(F.col("doc").alias("a"), F.col("center").alias("b")).distinct()
-    left, right = (sketches.select(F.col("doc").alias(x), *(F.col(f"s{i}").alias(f"{x}{i}") for i in range(4))) for x in "ab")
-    bits = sum((F.expr(f"bit_count(a{i} ^ b{i})") for i in range(4)), F.lit(0))
-    pairs = written(pairs.join(left, "a").join(right, "b").where(bits <= MOST_BITS).select("a", "b"), name="pairs")
+def duplicates(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text_hash)`` (as in ``keyed``) of the rows that aren't the first of their component, once each.
 
-    # Whoever may be compared again below needs its set too: members of buckets with others than the center.
-    involved = pairs.select("a").union(pairs.select("b")).union(shared.where("members > 2").select("doc")).distinct()
-    sets = written(full_sets(texts.join(involved.withColumnRenamed("a", "id"), "id", "left_semi")), name="sets")
-    a, b = (sets.select(F.col("id").alias(x), F.col("items").alias(f"{x}_items")) for x in "ab")
-    common = F.size(F.array_intersect("a_items", "b_items"))
-    union = F.size("a_items") + F.size("b_items") - common
-    links = written(pairs.join(a, "a").join(b, "b").where(100 * common >= PERCENT * union).select("a", "b"), name="stars")
+    Here each row is a document by itself, also if another has its id: a text goes only if one like it stays. Rows
+    with a null id or without words aren't in the table. Other columns are ignored; an empty table gives no rows.
+    """
+    found, classes = grouped(docs, tie_ids=False)
+    rows = with_classes(found, classes)
+    return rows.where((F.col("doc_id") != F.col("root.first")) | (F.col("text_hash") != F.col("root.text_hash"))).select("doc_id", "text_hash").distinct()
 
-    comps = components(links)
-    members = (
-        shared.where("members > 2").select("key", "doc")
-        .join(comps.withColumnRenamed("id", "doc"), "doc", "left")
-        .withColumn("component", F.coalesce("component", "doc"))
-    )
-    members = written(members, name="members")
-    open_keys = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    members = members.join(open_keys.select("key"), "key", "left_semi").join(sketches, "doc")
+
+def confirmed(docs: DataFrame, classes: DataFrame, repeated: bool) -> DataFrame:
+    """Links ``(a, b)`` between classes, enough of them to connect whatever is connected."""
+    sketches = classes.select("doc", *SKETCH)
+    keys = classes.select("doc", F.explode("bands").alias("key"))
+    stars = keys.groupBy("key").agg(F.min("doc").alias("center"), F.count("*").alias("members")).where("members > 1")
+    stars = written(stars, name="stars")
+    shared = written(split_join(keys, stars, ["key"], sizes=stars.select("key", F.col("members").alias("_n"))), name="shared")
+
+    def may_link(pairs: DataFrame) -> DataFrame:
+        """Pairs ``(a, b)`` whose sketches are near; ``b`` may be in very many of them."""
+        left, right = (sketches.select(F.col("doc").alias(x), *(F.col(c).alias(f"{x}{c}") for c in SKETCH)) for x in "ab")
+        bits = sum((F.expr(f"bit_count(a{c} ^ b{c})") for c in SKETCH), F.lit(0))
+        near = split_join(written(pairs, name="pairs"), right, ["b"]).join(left.hint("merge"), "a")
+        return written(near.where(bits <= MOST_BITS).select("a", "b"), name="near")
+
+    pairs = may_link(shared.where("doc <> center").select(F.col("doc").alias("a"), F.col("center").alias("b")).distinct())
+    # Whoever may be compared again below needs its set too: members of buckets with others than the center.
+    involved = pairs.select("a").union(pairs.select("b")).union(shared.where("members > 2").select("doc")).distinct().withColumnRenamed("a", "doc")
+    rows = involved.join(classes.select("doc", F.col("first").alias("doc_id"), "text_hash"), "doc")
+    texts = keyed(docs).join(rows, ["doc_id", "text_hash"]).select("doc", "text")
+    sets = full_sets(texts.dropDuplicates(["doc"]) if repeated else texts)
+    sets = written(sets, name="sets")
+
+    def distances(pairs: DataFrame) -> DataFrame:
+        a, b = (sets.select(F.col("doc").alias(x), F.col("items").alias(f"{x}_items")) for x in "ab")
+        both = split_join(written(pairs, name="pairs"), b, ["b"]).join(a.hint("merge"), "a")
+        both = both.withColumn("common", F.size(F.array_intersect("a_items", "b_items")))
+        return both.select("a", "b", "common", (F.size("a_items") + F.size("b_items") - F.col("common")).alias("union"))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        return distances(pairs).where(100 * F.col("common") >= PERCENT * F.col("union")).select("a", "b")
+
+    links = written(verified(pairs), name="links")
+    for number in range(STAR_ROUNDS + 1):
+        comps = components(links).withColumnRenamed("id", "doc")
+        members = shared.where("members > 2").select("key", "doc").join(comps.hint("merge"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+        members = written(members, name="members")
+        buckets = written(open_buckets(members), name="open")
+        work, rows = buckets.agg(F.sum(F.col("others").cast("double") * F.col("n")), F.sum("n")).first()
+        if not rows:
+            return links
+        members = written(split_join(members, buckets.select("key", "main"), ["key"]), name="members")
+        if work <= PAIRS * rows:
+            break
+        # Other centers for each of these buckets, one of its main component and one of the rest, for the members outside
+        # the main component: in a few rounds most of them find one near, or others of their own kind.
+        some = F.xxhash64("doc", F.lit(number))
+        centers = members.groupBy("key").agg(*(F.min_by("doc", F.when(side, some)).alias(c) for c, side in (("b", F.col("component") == F.col("main")), ("c", F.col("component") != F.col("main")))))
+        centers = written(centers, name="centers")
+        if number == STAR_ROUNDS:
+            break
+        again = split_join(members.where("component <> main").select("key", F.col("doc").alias("a")), centers, ["key"])
+        again = again.select("a", F.explode(F.array("b", "c")).alias("b")).where("a <> b").distinct()
+        links = written(links.unionByName(verified(may_link(again))), name="links")
+    if work > PAIRS * rows:
+        # Distances are a metric: two members that are at distances from one center which differ by more than a
+        # link's aren't linked. So a member meets those in its own ring around the center and in the next ones.
+        rings = written(split_join(members.select("key", "doc"), centers.select("key", F.col("b").alias("center")), ["key"]), name="rings")
+        far = distances(rings.select(F.col("doc").alias("a"), F.col("center").alias("b")).distinct()).withColumn("ring", F.floor((1 - F.col("common") / F.col("union")) / RING).cast("int"))
+        far = written(far.select(F.col("a").alias("doc"), F.col("b").alias("center"), "ring"), name="rings")
+        members = members.join(rings.join(far.hint("merge"), ["doc", "center"]).select("key", "doc", "ring").hint("merge"), ["key", "doc"])
+    else:
+        members = members.withColumn("ring", F.lit(0))
+    members = written(sides(members), name="sides")
+    members = written(members.join(sketches.hint("merge"), "doc"), name="members")
     may = in_blocks(members).mapInArrow(candidates_in_blocks, "key long, doc long").distinct()
-    members = written(may.join(members, ["key", "doc"]), name="may")
+    members = written(may.join(members.hint("merge"), ["key", "doc"]), name="may")
     if members.isEmpty():
         return links
-    found = in_blocks(members.join(sets.withColumnRenamed("id", "doc"), "doc")).mapInArrow(links_in_blocks, "a long, b long")
+    found = in_blocks(written(members.join(sets.hint("merge"), "doc"), name="may")).mapInArrow(links_in_blocks, "a long, b long")
     return links.unionByName(found)

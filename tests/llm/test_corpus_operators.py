@@ -142,7 +142,12 @@ def brute_links(rows):
     return Counter((i, len(shingles(text)), label.get(i), i is None or label[i] == i) for i, text in rows)
 
 
-def test_near_duplicates(spark, awkward):
+@pytest.mark.parametrize("pairs, block", [(neardup.PAIRS, neardup.BLOCK), (0, 8)])
+def test_near_duplicates(spark, awkward, monkeypatch, pairs, block):
+    # With no pairs allowed all star rounds are made, and the rest goes by rings around a center in small blocks.
+    monkeypatch.setattr(neardup, "PAIRS", pairs)
+    monkeypatch.setattr(neardup, "BLOCK", block)
+    monkeypatch.setattr(neardup, "STAR_ROUNDS", 2)
     r = random.Random(1)
     rows = [(x.doc_id, x.text) for x in awkward.collect()]
     # Chains: each text is a few edits from the one before, so that the ends are not linked directly.
@@ -160,11 +165,59 @@ def test_near_duplicates(spark, awkward):
         for _ in range(r.randint(0, 6)):
             some[r.randrange(150)] = "other%d" % r.randrange(10**6)
         rows.append((2000 + k, " ".join(some)))
+    # Ids that tie texts together, and rows that are repeated.
+    rows += [(3000 + k // 2, words(r, 30) if k % 2 else f"common text of some documents {k // 8} that is repeated") for k in range(40)] + rows[-3:] * 4
     r.shuffle(rows)
     found = neardup.linked(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
     assert Counter(map(tuple, found)) == brute_links(rows)
 
 
+def test_a_text_goes_only_if_one_like_it_stays(spark):
+    a, b, c = (words(random.Random(i), 40) for i in range(3))
+    rows = [(5, a), (11, a), (11, b), (11, b), (12, b.upper()), (13, ""), (14, None), (None, a), (2, c), (2, c + " x"), (3, c)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    gone = neardup.keyed(table).join(neardup.duplicates(table), ["doc_id", "text_hash"]).collect()
+    left = Counter(rows) - Counter((r.doc_id, r.text) for r in gone)
+    assert set(left) - {(2, c), (2, c + " x")} == {(5, a), (11, b), (13, ""), (14, None), (None, a)} and len({(2, c), (2, c + " x")} & set(left)) == 1
+
+
+def test_rest_round_is_linear_in_far_components(spark, monkeypatch):
+    """Two large components of one bucket: what the blocks hold grows with the members, not with their square."""
+    rows = {}
+    monkeypatch.setattr(neardup, "PAIRS", 8)
+    monkeypatch.setattr(neardup, "BLOCK", 16)
+    monkeypatch.setattr(neardup, "STAR_ROUNDS", 1)
+    # All documents share the first band; the components are 60 % apart.
+    monkeypatch.setattr(neardup, "band_keys", lambda least: np.arange(neardup.BANDS, dtype=np.int64))
+    deal = neardup.in_blocks
+    for n in (150, 600):
+        held = []
+        monkeypatch.setattr(neardup, "in_blocks", lambda m: held.append(deal(m)) or held[-1])  # noqa: B023
+        r = random.Random(n)
+        bases = [words(r, 200).split()] * 2
+        bases[1] = bases[0][:60] + words(r, 140).split()
+        docs = [(k, " ".join([*bases[k % 2], f"tail{k}"])) for k in range(n)]
+        found = neardup.linked(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+        assert {x.doc_id: x.component_id for x in found} == {k: k % 2 for k in range(n)}
+        rows[n] = held[0].count()
+    assert rows[600] <= 5 * max(1, rows[150])
+
+
+def test_sketches_keep_pairs_at_the_threshold():
+    """Of random pairs at exactly 0.85 none differs in more bits than are let through."""
+    r = np.random.default_rng(8)
+    most = 0
+    for k in range(3000):
+        n = (20, 40, 100, 400)[k % 4]  # the union; 3 in 20 of it are in one set alone
+        union = r.integers(1, 2**62, n).astype(np.uint64)
+        one = int(r.integers(0, 3 * n // 20 + 1))
+        a, b = union[: n - one], np.concatenate([union[: 17 * n // 20], union[n - one :]])
+        assert 100 * len(np.intersect1d(a, b)) == 85 * len(np.union1d(a, b))
+        bits = int(np.bitwise_count((neardup.odd_sketch(neardup.samples(a)) ^ neardup.odd_sketch(neardup.samples(b))).view(np.uint64)).sum())
+        most = max(most, bits)
+    assert most <= neardup.MOST_BITS - 4
+
+
 def test_components(spark):
     r = random.Random(2)
     edges = [(i, i + 1) for i in range(300) if i % 50] + [(1000, 1000 + i) for i in range(100)] + [(r.randrange(2000, 2200), r.randrange(2000, 2200)) for _ in range(90)] + [(5, 5), (None, 3)]
