@@ -1,6 +1,6 @@
 """The corpus pipeline: five stages over ``documents``, each written as Parquet and read again.
 
-1. language: documents in which no learned language is found (no letters, or no majority) go;
+1. language: documents in which no learned language stands out (no letters, or all are as likely) go;
 2. near-dedup: of each group of linked near-duplicates the document with the least id stays, and nothing
    goes without a text like it that stays;
 3. secrets: what the scan finds is replaced in the text by its kind;
@@ -17,19 +17,21 @@ from stripweave.llm import language, mixing, neardup, packing, secrets
 from stripweave.llm.common import documents, fresh, quoted, written
 from stripweave.llm.queries import tokenizer_path
 
-#: The least share of the posterior over the learned languages; with two of them the majority.
-LEAST_SCORE = 0.5
+#: A language stands out if its share of the posterior is so many times an equal share.
+LEAST_LIFT = 1.1
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents in which a language is found, with the columns of ``docs``, whatever their names.
+    """The documents in which a learned language stands out, with the columns of ``docs``, whatever their names.
 
     Null and empty texts and those without a letter go; rows with null or repeated ids are judged each by itself. Where
     no row has a label (an empty table, say) nothing is learned, and all go.
     """
     lang, score = fresh("lang_pred", docs.columns), fresh("score", docs.columns)
-    found = language.identify(docs, language.fit(docs), keep=(lang, score))
-    return found.where((F.col(lang) != language.UNKNOWN) & (F.col(score) >= LEAST_SCORE)).select(*map(quoted, docs.columns))
+    model = language.fit(docs)
+    least = min(1.0, LEAST_LIFT / max(1, len(model.langs)))
+    found = language.identify(docs, model, keep=(lang, score))
+    return found.where((F.col(lang) != language.UNKNOWN) & (F.col(score) >= least)).select(*map(quoted, docs.columns))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
