@@ -11,6 +11,7 @@ from fractions import Fraction
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from stripweave.llm import fingerprint, htmltext, language, layouts, mixing, neardup, neighbours, packing, pii, queries, repeats, secrets
 from stripweave.llm.common import components
@@ -741,10 +742,74 @@ def test_pipeline_sequences_keep_to_the_weights(spark):
         assert abs(sum(source[x.doc_id] == "a" for x in found[:n]) - n * want) < 2 * mixing.BLOCK
 
 
-def test_pipeline_stages_keep_the_columns(spark, awkward):
+def odd_documents(spark, awkward):
+    """The awkward rows with more clashing names, and ids with two texts."""
+    r = random.Random(31)
+    more = [(5, words(r, 50), "en", "s1", 1), (70, words(r, 40), None, None, None), (70, words(r, 40), None, None, None), (71, "token=abcdefgh12 " + words(r, 30), "en", "s1", 0)]
+    table = awkward.unionByName(spark.createDataFrame(more, "doc_id long, text string, lang string, source string, n_chars long"), allowMissingColumns=True)
+    for c in ("lang_pred", "n", "phase", "`my col`", "`a.b`", "mix_slot", "row", "text_hash", "nth", "held_out"):
+        table = table.withColumn(c.strip("`"), F.lit(c))
+    return table
+
+
+def test_pipeline_stages_on_awkward_rows(spark, awkward):
+    import corpus_pipeline
+
+    docs = corpus_pipeline.written(odd_documents(spark, awkward))
+    plain = lambda rows: [(x.doc_id, x.text) for x in rows]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = corpus_pipeline.written(stage(spark, docs, SMALL))
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes, name
+        before, after = plain(docs.collect()), plain(out.collect())
+        if name == "language":
+            model = language.fit(docs)
+            scorer, least = language.Scorer(model), min(1.0, corpus_pipeline.LEAST_LIFT / len(model.langs))
+            want = [x for x in before if scorer.predict(x[1])[1] >= least]
+            assert Counter(after) == Counter(want) and after
+        elif name == "near_dedup":
+            # Each text that went is like one that stays, and no two of those that stay are linked.
+            sets = {t: {k for k, v in links.items() if t in v} for links in [alike([t for _, t in before])] for t in {t for _, t in before}}
+            assert all(sets[t] & {sets_of for _, x in after for sets_of in sets[x]} for _, t in before)
+            ids = [x for x in after if x[0] is not None]
+            assert len({min(sets[t]) for _, t in ids}) == len(ids)
+        elif name == "secrets":
+            assert Counter(after) == Counter((i, secrets.redacted(t)) for i, t in before)
+        else:
+            assert Counter(after) == Counter(before)
+        docs = out
+    check_packed(plain(docs.collect()), corpus_pipeline.pack_sequences(spark, docs, SMALL).collect(), packing.WINDOW)
+
+
+def alike(texts):
+    """``{group: texts}`` of texts connected by links."""
+    found = brute_links([(i, t) for i, t in enumerate(texts)])
+    out = defaultdict(set)
+    for (i, _, group, _), _ in found.items():
+        out[group].add(texts[i])
+    return out
+
+
+def test_pipeline_on_empty_tables(spark, empty):
     import corpus_pipeline
 
-    docs = awkward.select("doc_id", "text", "lang", "source", "n_chars")
-    for _, stage in corpus_pipeline.STAGES[1:4]:
-        assert stage(spark, docs, SMALL).columns == docs.columns
-    assert corpus_pipeline.drop_near_duplicates(spark, docs, SMALL).where("doc_id = 5").count() == 1
+    docs = empty
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.written(stage(spark, docs, SMALL))
+        assert docs.columns == empty.columns and docs.count() == 0
+    assert corpus_pipeline.pack_sequences(spark, docs, SMALL).count() == 0
+
+
+@pytest.mark.parametrize("name", [q for q in queries.QUERIES])
+def test_queries_over_small_tables(spark, name):
+    """Each registered query gives a row for each row of its table, or the pieces, neighbours or blocks of them."""
+    found = queries.QUERIES[name](spark, SMALL)
+    rows, table = found.collect(), {"op4_neighbours": "embeddings", "op8_html": "pages"}.get(name, "documents")
+    source = spark.read.parquet(f"{SMALL}/{table}.parquet")
+    if name == "op4_neighbours":
+        ids = {x.vec_id for x in source.where("vec_id % 100 = 0").collect()}
+        assert Counter(x.query_id for x in rows) == {i: 10 for i in ids}
+    elif name == "op5_packing":
+        check_packed([(x.doc_id, x.text) for x in source.collect()], rows, packing.WINDOW)
+    else:
+        key = "page_id" if table == "pages" else "doc_id"
+        assert Counter(x[key] for x in rows) == Counter(x[key] for x in source.collect())
