@@ -288,43 +288,74 @@ def test_runs_find_a_passage_in_other_text():
 # 4. Neighbours
 
 
+def brute_neighbours(rows, q, k=10):
+    """``[(distance, id)]`` of the nearest ids, each at the nearest of its vectors to any of the query's."""
+    own = [v for i, v in rows if i == q]
+    best = {}
+    for i, x in rows:
+        if i != q:
+            best[i] = min(best.get(i, math.inf), *(float(np.sqrt(((x - v) ** 2).sum())) for v in own))
+    return sorted((d, i) for i, d in best.items())[:k]
+
+
+def recall_of(found, rows, queries):
+    by_query = defaultdict(list)
+    for r in found:
+        by_query[r.query_id].append((r["rank"], r.vec_id, r.score))
+    hits = total = 0
+    for q in queries:
+        near, got = brute_neighbours(rows, q), sorted(by_query.pop(q))
+        assert [g[0] for g in got] == list(range(1, len(near) + 1)) and [(d, i) for _, i, d in got] == sorted((d, i) for _, i, d in got)
+        exact = dict((i, d) for d, i in brute_neighbours(rows, q, len(rows)))
+        assert all(abs(exact[i] - d) < 1e-9 for _, i, d in got)
+        hits += len({i for _, i, _ in got} & {i for _, i in near})
+        total += len(near)
+    assert not by_query
+    return hits / max(1, total)
+
+
 def test_neighbours_recall_and_scores(spark):
     table = spark.read.parquet(f"{SMALL}/embeddings.parquet")
     copies = table.limit(40).selectExpr("vec_id + 100000 as vec_id", "embedding", "label")
     odd = spark.createDataFrame([(7000, None), (7100, [0.0] * 64), (7200, [None] + [1.0] * 63), (7300, [float("nan")] * 64), (None, [1.0] * 64), (7400, [1.0] * 3)], "vec_id long, embedding array<float>").selectExpr("*", "1 as label")
     table = table.unionByName(copies).unionByName(odd)
     rows = [(r.vec_id, np.array(r.embedding, float)) for r in table.collect() if r.vec_id is not None and r.vec_id // 1000 != 7 and r.embedding]
-    found = defaultdict(list)
-    for r in neighbours.search(table).collect():
-        found[r.query_id].append((r["rank"], r.vec_id, r.score))
-    hits = total = 0
-    for q, v in rows:
-        if q % 100:
-            continue
-        near = sorted((float(np.sqrt(((x - v) ** 2).sum())), i) for i, x in rows if i != q)
-        got = sorted(found.pop(q))
-        assert [g[0] for g in got] == list(range(1, 11))
-        exact = {i: d for d, i in near}
-        assert all(abs(exact[i] - d) < 1e-12 for _, i, d in got)
-        assert [(d, i) for _, i, d in got] == sorted((d, i) for _, i, d in got)
-        hits += len({i for _, i, _ in got} & {i for _, i in near[:10]})
-        total += 10
-    assert not found and hits >= 0.9 * total
+    assert recall_of(neighbours.search(table).collect(), rows, sorted({i for i, _ in rows if i % 100 == 0})) >= 0.9
 
 
-def test_few_vectors_return_all(spark):
-    table = spark.createDataFrame([(0, [1.0]), (100, [1.0]), (3, [-2.0])], "vec_id long, embedding array<float>")
-    found = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in neighbours.search(table, share=1.0).collect())
-    assert found == [(0, 1, 100, 0.0), (0, 2, 3, 3.0), (100, 1, 0, 0.0), (100, 2, 3, 3.0)]
+def test_neighbours_see_a_few_cells_where_there_are_clusters(spark, monkeypatch):
+    r = np.random.default_rng(4)
+    monkeypatch.setattr(neighbours, "BLOCK", 64)  # many blocks, and chunks of queries
+    seen = {}
+    measured = neighbours.measured_budget
+    for n in (1500, 6000):
+        centers = r.normal(size=(n // 30, 16)) * 10
+        vectors = (centers[r.integers(0, len(centers), n)] + r.normal(size=(n, 16))).astype(np.float32)
+        rows = [(i, v.astype(float)) for i, v in enumerate(vectors)]
+        table = spark.createDataFrame([(i, v.tolist()) for i, v in rows], "vec_id long, embedding array<double>").repartition(4)
+        monkeypatch.setattr(neighbours, "measured_budget", lambda *a: seen.setdefault(n, measured(*a)))  # noqa: B023
+        queries = [i for i in range(0, n, 100)]
+        assert recall_of(neighbours.search(table).collect(), rows, queries) >= 0.9
+    assert seen[6000] < 0.1 * 6000 and seen[6000] < 2 * seen[1500]
+
 
+def test_neighbours_of_repeated_ids_and_copies(spark):
+    r = np.random.default_rng(9)
+    rows = [(int(i), v) for i, v in zip(r.integers(0, 150, 400), r.normal(size=(400, 4)))]
+    rows += [(1000 + i, rows[0][1]) for i in range(30)] + [(100, rows[1][1]), (100, rows[1][1]), (0, rows[1][1])] + rows[:5]
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in rows], "vec_id long, embedding array<double>").repartition(3)
+    assert recall_of(neighbours.search(table, recall=1.0, centroids=1).collect(), rows, sorted({i for i, _ in rows if i % 100 == 0})) == 1.0
 
-def test_few_vectors_return_all_by_default(spark):
+
+def test_few_vectors_return_all(spark):
     table = spark.createDataFrame([(0, [1.0]), (100, [1.0]), (3, [-2.0])], "vec_id long, embedding array<float>")
     found = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in neighbours.search(table).collect())
     assert found == [(0, 1, 100, 0.0), (0, 2, 3, 3.0), (100, 1, 0, 0.0), (100, 2, 3, 3.0)]
-    # Ten candidates of many, though the query's cell, with rows of its own id alone, holds most of the distinct vectors.
+    table = spark.createDataFrame([(i, [float(i * i % 7), float(i + 1)]) for i in range(15)], "vec_id long, embedding array<double>")
+    assert neighbours.search(table).count() == 10
+    # Ten candidates of many, though the query's cell, with vectors of its own id alone, holds most of them.
     rows = [(0, [1.0 + i / 1000, 0.0]) for i in range(30)] + [(1 + i, [-5.0 - i, 3.0 * i]) for i in range(14)]
-    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     found = neighbours.search(table, centroids=2)
     assert found.where("query_id = 0").count() == 10 and found.where("vec_id = 0").count() == 0
 
