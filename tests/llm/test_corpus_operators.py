@@ -249,40 +249,127 @@ def test_sketch_estimates():
 # 3. Repeats
 
 
-def test_repeats(spark, awkward):
+def slow_units(text, least):
+    """``(kind, first word, words, start, stop)`` by the definition, over lists of words."""
+    found = [(m[0].lower(), m.start()) for m in re.finditer(r"[^\W_]+", text)]
+
+    def within(a, b):
+        return [i for i, (_, at) in enumerate(found) if a <= at < b]
+
+    for m in re.finditer(r"[^\n]+", text):
+        line = within(*m.span())
+        if len(line) >= least.line:
+            yield "line", line[0], tuple(found[i][0] for i in line), *m.span()
+        ends = [e.end() for e in re.finditer(r"(?<![.!?])[.!?]+(?=\s|\Z)", m[0])]
+        for a, b in zip([0, *ends], [*ends, len(m[0])]):
+            a += len(m[0][a:b]) - len(m[0][a:b].lstrip())
+            own = within(m.start() + a, m.start() + b)
+            if len(own) >= least.sentence and own != line:
+                yield "line", own[0], tuple(found[i][0] for i in own), m.start() + a, m.start() + b
+    borders, last = [], None
+    for i in slow_borders(found):
+        if last is None or i - last >= least.run:
+            borders.append(i)
+            last = i
+    for a, b in zip(borders, borders[1:]):
+        yield "run", a, tuple(w for w, _ in found[a:b]), found[a][1], found[b][1]
+
+
+def slow_borders(found):
+    """Words whose pair hash is the least within the radius, one window at a time."""
+    n, r = len(found), repeats.RADIUS
+    text = " ".join(w for w, _ in found)
+    part, _, hashed = repeats.characters()
+    m = int(repeats._M[0][0])
+    mix = lambda x: int(neardup.mix(np.array([x % 2**64], np.uint64))[0])
+    words = [mix(sum(int(hashed[ord(c)]) * pow(m, i, 2**64) for i, c in enumerate(w))) for w, _ in found]
+    assert len(text.split()) == n
+    pair = [mix(w * int(repeats._WORD) + (words[i + 1] * int(repeats._NEXT) if i + 1 < n else 0)) for i, w in enumerate(words)]
+    return [i for i in range(r, n - r) if pair[i] == min(pair[i - r : i + r + 1])]
+
+
+def slow_repeats(rows, least):
+    """Spans that each row loses: every unit but the first by id (null first), text and place."""
+    ranked = sorted({(i is not None, i or 0, repeats_hash(t), t or "") for i, t in rows})
+    seen, lost = set(), {}
+    for has, i, h, t in ranked:
+        mine, spans = set(), []
+        for kind, at, words, a, b in sorted(slow_units(t, least), key=lambda u: (u[0], u[1])):
+            if (kind, words) in seen or (kind, words) in mine:
+                spans.append((a, b))
+            mine.add((kind, words))
+        seen |= mine
+        joined = []
+        for a, b in sorted(spans):
+            if joined and a <= joined[-1][1]:
+                joined[-1][1] = max(b, joined[-1][1])
+            else:
+                joined.append([a, b])
+        lost[i if has else None, t] = ",".join(f"{a}:{b}" for a, b in joined)
+    return Counter((i, len(t or ""), lost[i, t or ""]) for i, t in rows)
+
+
+HASHES = {}
+
+
+def repeats_hash(text):
+    return HASHES.get(text, 0)
+
+
+@pytest.mark.parametrize("least", [repeats.Least(), repeats.Least(1, 1, 1)])
+def test_repeats_are_those_of_brute_force(spark, awkward, least):
+    r = random.Random(41)
+    lines = [words(r, r.randint(1, 12)) for _ in range(12)]
+    sentences = [words(r, r.randint(1, 14)).capitalize() + r.choice([".", "!?", "...", ""]) for _ in range(12)]
+    passages = [words(r, 45) for _ in range(3)]
+    rows = []
+    for i in range(70):
+        some = [r.choice([r.choice(lines), r.choice(sentences), f"{r.choice(sentences)} {words(r, 5)}. {r.choice(sentences)}", f"{words(r, 14)} {r.choice(passages)}, {words(r, 12)}", words(r, 20), "", "É_é ½ İx ﬁ 日本 . ! "]) for _ in range(r.randint(1, 8))]
+        rows.append((r.choice([i, i, i, 7, None]), r.choice(["\n", "\n\n", "  \n"]).join(some)))
+    rows += [(200, "la " * 60), (201, f"{words(r, 20)} {'la ' * 40}{words(r, 20)}"), (202, "do re mi " * 30), (203, words(r, 30) + " do re mi" * 20), (204, "." * 300 + " x"), rows[0], (205, None), (206, "a b. " * 40)]
+    rows += [(x.doc_id, x.text) for x in awkward.collect() if len(x.text or "") < 2000]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    HASHES.update((x.text or "", x.h) for x in table.selectExpr("text", "xxhash64(text) as h").collect())
+    HASHES[""] = 0
+    found = repeats.report(table, least).collect()
+    assert Counter((x.doc_id, x.n_chars, x.spans) for x in found) == slow_repeats(rows, least)
+    cut = Counter((x.doc_id, x.text or "") for x in repeats.deduplicated(table, least).collect())
+    by_row = defaultdict(set)
+    for x in found:
+        by_row[x.doc_id, x.n_chars].add(x.spans)
+    keep = lambda t, spans: "".join(c for k, c in enumerate(t) if not any(int(a) <= k < int(b) for a, b in (s.split(":") for s in spans.split(",") if s)))
+    for i, t in rows:
+        assert any(cut[i, keep(t or "", s)] for s in by_row[i, len(t or "")])
+
+
+def test_repeats_keep_the_first_and_other_columns(spark, awkward):
     r = random.Random(9)
-    passage = ". ".join(words(r, 20).capitalize() for _ in range(3)) + "."
-    line = words(r, 9)
-    rows = [(1, f"{words(r, 30)}.\n{line}\n{words(r, 12)} {passage} {words(r, 12)}."), (2, f"{line}\nThe.\n{words(r, 40)} {passage} {words(r, 9)}"), (3, f"{line.upper()}!\n{passage}\nThe."), (4, words(r, 50)), (None, line), (5, None), (6, "")]
-    table = spark.createDataFrame(rows, "doc_id long, text string")
-    found = {x.doc_id: x for x in repeats.report(table).collect()}
-    assert found[None].n_removed == 0  # null ids rank first
-    cut = {x.doc_id: x.text for x in repeats.deduplicated(table).collect()}
-    assert line in rows[0][1] and line not in cut[1] and passage in cut[1]
-    assert found[4].n_removed == 0 and cut[4] == rows[3][1]
-    assert line not in cut[2] and passage.split(". ")[1] not in cut[2] and "The." in cut[2]
-    # In row 3 the passage begins a line and elsewhere not, so of its first sentence only inner runs can go.
-    left = cut[3].split()
-    assert left[-1] == "The." and len(left) <= 21 and passage.split(". ")[2].split()[3] not in left
-    for i, text in rows:
-        spans = [tuple(map(int, s.split(":"))) for s in found[i].spans.split(",") if s]
-        keep = [c for k, c in enumerate(text or "") if not any(a <= k < b for a, b in spans)]
-        assert "".join(keep) == (cut[i] or "") and found[i].chars_removed == sum(b - a for a, b in spans)
+    passage, line = ". ".join(words(r, 20).capitalize() for _ in range(3)) + ".", words(r, 9)
+    rows = [(1, f"{words(r, 30)}.\n{line}\n{words(r, 12)} {passage} {words(r, 12)}.", 1), (2, f"{line}\nThe.\n{words(r, 40)} {passage} {words(r, 9)}", 2), (3, f"{line.upper()}!\n{passage}\nThe.", 3), (None, line, 4)]
+    cut = {x.doc_id: x for x in repeats.deduplicated(spark.createDataFrame(rows, "doc_id long, text string, `my col` int")).collect()}
+    assert cut[None].text == line and line not in cut[1].text and passage in cut[1].text and sorted(x["my col"] for x in cut.values()) == [1, 2, 3, 4]
+    assert line.upper() not in cut[3].text and "The." in cut[3].text and passage.split(". ")[1] not in cut[3].text and passage.split(". ")[1] not in cut[2].text
     assert repeats.report(awkward).count() == awkward.count()
 
 
+def test_units_are_found_in_linear_time():
+    for text in ("." * 1_000_000, "a.b" * 300_000, "x " * 400_000, "x" * 1_000_000, "\n" * 1_000_000, ". " * 500_000):
+        repeats.units(["warm"])
+        began = time.perf_counter()
+        repeats.units([text])
+        assert time.perf_counter() - began < 3
+
+
 def test_runs_find_a_passage_in_other_text():
     r = random.Random(12)
-    missed = 0
+    shares = []
     for _ in range(200):
         passage = words(r, 55)
-        digests = [{u[3] for u in repeats.runs(f"{words(r, 40)} {passage}, {words(r, 40)}")} for _ in range(2)]
-        missed += not digests[0] & digests[1]
-    assert missed <= 12
-    text = words(r, 300)
-    found = list(repeats.runs(text))
-    assert all(a < b for _, a, b, _ in found) and all(x[2] <= y[1] for x, y in zip(found, found[1:]))
-    assert not list(repeats.runs("a b c")) and not list(repeats.runs(""))
+        texts = [f"{words(r, 40)} {passage}, {words(r, 40)}" for _ in range(2)]
+        found = repeats.units(texts)
+        runs = [{(int(a), int(b)): int(h) for t, lv, a, b, h in zip(*(found[c] for c in ("text", "level", "start", "stop", "h1"))) if t == k and lv == repeats.RUN} for k in (0, 1)]
+        shares.append(sum(b - a for (a, b), h in runs[1].items() if h in runs[0].values()) / len(passage))
+    assert np.mean([s == 0 for s in shares]) <= 0.03 and np.mean(shares) > 0.6
 
 
 # 4. Neighbours
