@@ -53,6 +53,10 @@ class WordEncoder(dict):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         self.special = [x["content"] for x in spec.get("added_tokens", ())]
+        # Other ways of cutting a text into words, or of changing it before, are the tokenizer's own business.
+        cutter = spec.get("pre_tokenizer") or {}
+        usual = cutter.get("type") == "ByteLevel" and not cutter.get("add_prefix_space") and cutter.get("use_regex", True)
+        self.usual = bool(usual and not spec.get("normalizer") and spec["model"].get("type") == "BPE" and not spec["model"].get("ignore_merges"))
         # The printable stand-ins that byte-level vocabularies use for bytes.
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         stand_in = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in shown)}
@@ -77,7 +81,7 @@ class WordEncoder(dict):
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
-        if any(s in text for s in self.special):
+        if not self.usual or any(s in text for s in self.special):
             return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         first, *rest = text.split(" ")
         try:
