@@ -26,7 +26,7 @@ from .neardup import keyed, mix
 #: A run begins at a word whose hash is the least of so many before and after it: each 11 words or so.
 RADIUS = 5
 #: Bytes of text read at a time; a longer text comes alone.
-READ_BYTES = 1 << 20
+READ_BYTES = 1 << 18
 LINE, SENTENCE, RUN = range(3)
 
 
