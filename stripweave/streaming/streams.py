@@ -11,28 +11,27 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..config import DEFAULTS, Settings
-from ..operators.tracking import ASSIGNED, Tracker
+from ..operators.tracking import ASSIGNED, Live, assigned
 
 
 def tracked(observations: DataFrame, settings: Settings = DEFAULTS, *, idle_ms: int | None = None) -> DataFrame:
-    """``tracking.track`` for a stream: the open tracks of each side are the state.
+    """``tracking.track`` for a stream: the tracks of each side that may go on are the state.
 
-    With ``idle_ms`` a recording that is silent so long ends, and its state goes. Frames of one recording
-    have to arrive in order, as its reader emits them; a batch may hold several.
+    With ``idle_ms`` a side that is silent so long forgets its tracks; how many there were stays, so that keys
+    are never given twice. Frames of one recording have to arrive in order, as its reader emits them; a batch
+    may hold several.
     """
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        live = pickle.loads(state.get[0]) if state.exists else Live()
         if state.hasTimedOut:
-            state.remove()
+            state.update((pickle.dumps(Live(live.opened)),))
             return
-        tracks = pickle.loads(state.get[0]) if state.exists else []
-        tracker = Tracker(*key, settings, tracks)
-        pdf = pd.concat(list(batches)).sort_values(["frame_index", "bag_index_in_frame", "bag_id"])
-        rows = [(*key, *r) for _, f in pdf.groupby("frame_index", sort=True) for r in tracker.update(f.to_dict("records"))]
-        state.update((pickle.dumps(tracker.tracks),))
+        live, rows = assigned(key, pd.concat(list(batches)), live, settings)
+        state.update((pickle.dumps(live),))
         if idle_ms:
             state.setTimeoutDuration(idle_ms)
-        yield pd.DataFrame(rows, columns=["video", "side", "bag_id", "track_key", "track_match_score", "is_best"])
+        yield rows
 
     timeout = GroupStateTimeout.ProcessingTimeTimeout if idle_ms else GroupStateTimeout.NoTimeout
     return observations.groupBy("video", "side").applyInPandasWithState(step, ASSIGNED, "tracks binary", "append", timeout)

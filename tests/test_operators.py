@@ -1,6 +1,7 @@
 import datetime
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -172,6 +173,53 @@ def test_tracker(spark):
     assert (table["0001"].observation_count, table["0001"].first_bag_id, table["0001"].last_bag_id, table["0001"].best_bag_id) == (2, 1, 2, 2)
 
 
+def slow_tracks(observations, s=tracking.DEFAULTS):
+    """One side's tracks by the rule, pair by pair."""
+    unit = lambda v: np.array(v) / max(np.linalg.norm(v), 1e-8)
+    tracks, out = [], {}
+    for f in sorted({o[1] for o in observations}):
+        frame = sorted((o for o in observations if o[1] == f), key=lambda o: o[3])
+        last, pairs = max(1, len(frame) - 1), []
+        for i, o in enumerate(frame):
+            for j, t in enumerate(tracks):
+                away = abs(o[4] - t["at"])
+                if frame[0][2] - t["seen"] <= s.max_gap_seconds and away <= s.max_position_delta:
+                    cos = float(np.clip(unit(o[6]) @ unit(t["look"]), 0, 1))
+                    pairs.append((s.appearance_weight * cos + s.position_weight * (1 - away / s.max_position_delta) + s.order_weight * max(0, 1 - abs(i - min(last, t["n"] - 1)) / last), i, j))
+        taken = {}
+        for score, i, j in sorted(pairs, reverse=True):
+            if score >= s.min_track_score and i not in taken and j not in {x for x, _ in taken.values()}:
+                taken[i] = (j, score)
+        for i, o in enumerate(frame):
+            q = 0.65 * o[5] + 0.35 * 0.5
+            if i not in taken:
+                tracks.append({"at": o[4], "seen": o[2], "n": 1, "q": q, "look": np.array(o[6])})
+                out[o[0]] = (len(tracks), 1.0, False)
+                continue
+            j, score = taken[i]
+            t = tracks[j]
+            out[o[0]] = (j + 1, score, q > t["q"])
+            t |= {"at": o[4], "seen": o[2], "n": t["n"] + 1, "q": max(q, t["q"]), "look": unit(s.descriptor_momentum * t["look"] + (1 - s.descriptor_momentum) * np.array(o[6]))}
+    return out
+
+
+def test_tracks_are_those_of_the_pairwise_rule():
+    r = np.random.default_rng(3)
+    for _ in range(25):
+        kinds = r.normal(size=(4, 6)) + 1
+        rows, time = [], 0.0
+        for f in range(30):
+            time += r.choice([0.4, 0.4, 3.0, 9.0])
+            for k in range(r.integers(1, 6)):
+                rows.append((len(rows), f, time, k, float(np.round(r.random(), 2)), float(r.random()), (kinds[r.integers(4)] + 0.2 * r.normal(size=6)).tolist()))
+        table = pd.DataFrame([(b, f, t, k, c, q, 0.5, v) for b, f, t, k, c, q, v in rows], columns=["bag_id", "frame_index", "timestamp_seconds", "bag_index_in_frame", "center_norm", "quality_score", "segment_confidence", "descriptor"])
+        live, found = tracking.assigned(("v", "s"), table.sample(frac=1, random_state=1), tracking.Live())
+        slow = slow_tracks(rows)
+        assert {x.bag_id: (int(x.track_key[-4:]), bool(x.is_best)) for x in found.itertuples()} == {b: (n, better) for b, (n, _, better) in slow.items()}
+        assert all(abs(x.track_match_score - slow[x.bag_id][1]) < 1e-9 for x in found.itertuples())
+        assert live.opened == max(n for n, _, _ in slow.values()) and len(live.number) < live.opened
+
+
 def test_identification(spark):
     pills = spark.createDataFrame([(1, 0, "blanco", "redondo"), (1, 1, "rosa", "alargado"), (1, 2, "verde", "redondo")], "image_id long, pill_id long, color string, shape string")
     looks = spark.createDataFrame([(1, "A", "A 1", "blanco redondo", 1), (1, "A", "A 2", "rosa", 2), (1, "B", "B 1", "capsula rosa", 1), (1, "C", "C 1", "", 1)], "image_id long, drug string, presentation string, description string, rank int")
