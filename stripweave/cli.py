@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import argparse
+import glob
 import json
+import os
 import sys
 
 
@@ -44,18 +46,35 @@ def settings_of(*paths: str | None):
     out = DEFAULTS
     for path in paths:
         if path:
-            with open(path, encoding="utf-8") as file:
-                text = file.read()
+            names = sorted(glob.glob(os.path.join(path, "part-*"))) if os.path.isdir(path) else [path]
+            text = "\n".join(open(name, encoding="utf-8").read() for name in names)
             try:
                 given = json.loads(text)
             except ValueError:
-                import yaml
-
-                given = yaml.safe_load(text)
+                given = joined_lines(text)
             out = out.merged(given or {})
     return out
 
 
+def joined_lines(text: str) -> dict:
+    """JSON lines as one configuration, maps and lists put together; any other text is YAML."""
+    lines = [x for x in text.splitlines() if x.strip()]
+    if not lines or not all(x.startswith("{") for x in lines):
+        import yaml
+
+        return yaml.safe_load(text)
+    out: dict = {}
+    for given in map(json.loads, lines):
+        for name, value in given.items():
+            if isinstance(value, dict):
+                out.setdefault(name, {}).update(value)
+            elif isinstance(value, list):
+                out.setdefault(name, []).extend(value)
+            else:
+                out[name] = value
+    return out
+
+
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     from pyspark.sql import SparkSession

@@ -13,6 +13,18 @@ from ..functions import text as T
 from ..functions.kernels import assignment
 
 
+#: Letters by which names are looked up; a shorter drug is looked up by all it has.
+LOOKED_UP = 3
+
+
+def names_from(drugs: DataFrame, registry: DataFrame) -> DataFrame:
+    """Registry rows whose names begin with a drug's, case aside: met by their first letters, then compared in full."""
+    wanted, name = F.upper(F.trim("drug")), F.upper("name")
+    d = drugs.where(F.length(wanted) > 0).withColumn("begins", F.left(wanted, F.lit(LOOKED_UP)))
+    r = registry.withColumn("begins", F.explode(F.array_distinct(F.array(*(F.left(name, F.lit(n)) for n in range(1, LOOKED_UP + 1))))))
+    return d.join(r, "begins").where(F.startswith(name, wanted)).drop("begins")
+
+
 def presentations(drugs: DataFrame, registry: DataFrame, *, marketed: bool = True) -> DataFrame:
     """Registry rows for each drug: names that begin with it, and its active ingredient's, once by registry number.
 
@@ -22,7 +34,7 @@ def presentations(drugs: DataFrame, registry: DataFrame, *, marketed: bool = Tru
     r = registry.where("marketed") if marketed else registry
     r = r.select("nregistro", "name", "ingredient")
     d = drugs.select("drug").distinct()
-    named = d.join(r, F.startswith(F.upper("name"), F.upper(F.trim("drug"))) & (F.length(F.trim("drug")) > 0)).withColumn("source", F.lit(1))
+    named = names_from(d, r).withColumn("source", F.lit(1))
     active = d.join(r, F.upper(F.trim("drug")) == F.upper("ingredient")).withColumn("source", F.lit(2))
     found = named.unionByName(active)
     last = Window.partitionBy("drug", "nregistro").orderBy(F.desc("source"), "name", "ingredient")

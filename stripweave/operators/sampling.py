@@ -38,9 +38,8 @@ def coverage(chosen: DataFrame, index: DataFrame) -> DataFrame:
 
 
 def batch_document(covered: DataFrame) -> DataFrame:
-    """One row: the photos to annotate, and what each covers."""
-    pairs = F.array_sort(F.collect_list(F.struct("crop_path", "pouches")))
-    return covered.agg(F.array_sort(F.collect_list("crop_path")).alias("photos"), F.map_from_entries(pairs).alias("coverage"))
+    """The batch as JSON lines ``(crop_path, document)``: each photo to annotate, and what it covers."""
+    return covered.select("crop_path", F.to_json(F.struct("crop_path", "pouches")).alias("document"))
 
 
 def histogram(rows: DataFrame, size: Column) -> DataFrame:
@@ -60,27 +59,36 @@ def against_files(photos: DataFrame, files: DataFrame) -> tuple[DataFrame, DataF
     return photos.join(files, on, "left_semi"), photos.join(files, on, "left_anti")
 
 
+def draw(key: str, seed: int) -> Column:
+    """A seeded draw, as hexadecimal digits that order like the number."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary"))
+
+
 def split(rows: DataFrame, key: str, *, share: float = 0.15, seed: int = 42, group: str | None = None) -> DataFrame:
     """Adds ``split``: the given share of the units, at least one, goes to ``val`` by a seeded hash.
 
-    Units are keys, or groups of them where given (no group is in both parts). The cut is a threshold on the
-    exact rank among hashes, found by counting, not by one task's sort.
+    Units are keys, or groups of them where given (no group is in both parts). The cut is the exact rank among
+    the draws: a count by their first four digits says in which of 65,536 parts it is, and only that one is sorted.
     """
     unit = group or key
-    units = rows.select(unit).distinct().withColumn("draw", F.xxhash64(unit, F.lit(seed)))
-    wanted = F.greatest(F.lit(1), F.floor(F.lit(share) * F.count("*"))).cast("int")
-    n = units.agg(wanted.alias("n")).first()["n"]
-    limit = units.orderBy("draw", unit).limit(n).agg(F.max(F.struct("draw", unit)).alias("last")).first()["last"]
-    if limit is None:
+    units = rows.select(unit).where(F.col(unit).isNotNull()).distinct().withColumn("draw", draw(unit, seed)).withColumn("part", F.substring("draw", 1, 4))
+    parts = sorted((r["part"], r["count"]) for r in units.groupBy("part").count().collect())
+    left = max(1, int(share * sum(n for _, n in parts)))
+    for part, n in parts:
+        if left <= n:
+            break
+        left -= n
+    else:
         return rows.withColumn("split", F.lit(None).cast("string"))
-    draw = F.xxhash64(unit, F.lit(seed))
-    first = (draw < limit["draw"]) | ((draw == limit["draw"]) & (F.col(unit) <= limit[unit]))
+    last = units.where(F.col("part") == part).orderBy("draw", unit).limit(left).agg(F.max(F.struct("draw", unit)).alias("last")).first()["last"]
+    own = draw(unit, seed)
+    first = (own < last["draw"]) | ((own == last["draw"]) & (F.col(unit) <= last[unit]))
     return rows.withColumn("split", F.when(first, "val").otherwise("train"))
 
 
 def sample(rows: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
     """``n`` rows by a seeded hash of their keys."""
-    return rows.orderBy(F.xxhash64(key, F.lit(seed)), key).limit(n)
+    return rows.orderBy(draw(key, seed), key).limit(n)
 
 
 def yolo_labels(images: DataFrame, annotations: DataFrame) -> DataFrame:

@@ -25,12 +25,12 @@ def item_line_parse(t):
 @register(
     "merged_line_items",
     """SELECT ocr_result_id, line_index, k AS item, CASE WHEN k = 0 THEN quantity END AS quantity, CASE WHEN k = 0 THEN drug_name ELSE 'SECOND' END AS drug_name,
-              CASE WHEN k = 0 THEN dose_value ELSE 1.5 END AS dose_value, CASE WHEN k = 0 THEN 'MG' ELSE 'MCG' END AS dose_unit FROM {items}, (VALUES (0), (1)) AS v(k) WHERE line_index = 0""",
+              CASE WHEN k = 0 THEN dose_value ELSE 1.5 END AS dose_value, CASE WHEN k = 0 THEN 'MG' ELSE 'MCG' END AS dose_unit FROM {items}, (VALUES (0), (1)) AS v(k)""",
 )
 def merged_line_items(t):
     """Two drugs read as one line."""
     line = F.concat("raw_line", F.lit(" SECOND COMPRIMID 1,5 UG"))
-    rows = t("items").where("line_index = 0").select("ocr_result_id", F.col("line_index").alias("at"), F.inline(T.items(line)))
+    rows = t("items").select("ocr_result_id", F.col("line_index").alias("at"), F.inline(T.items(line)))
     return rows.select("ocr_result_id", F.col("at").alias("line_index"), F.col("line_index").alias("item"), "quantity", "drug_name", "dose_value", "dose_unit")
 
 
@@ -73,9 +73,9 @@ def section_extract(t):
     return t("pages").select("page_id", T.section(html).alias("said"))
 
 
-@register("accent_strip", "SELECT doc_id, strip_accents(text) AS said FROM {documents} WHERE lang IN ('es', 'fr')")
+@register("accent_strip", "SELECT doc_id, strip_accents(text) AS said FROM {documents}")
 def accent_strip(t):
-    return t("documents").where("lang in ('es', 'fr')").select("doc_id", T.without_accents(F.col("text")).alias("said"))
+    return t("documents").select("doc_id", T.without_accents(F.col("text")).alias("said"))
 
 
 @register("merged_line_flag", "SELECT ocr_result_id, max(n) > 1 AS merged FROM (SELECT ocr_result_id, raw_line, count(*) AS n FROM {items} GROUP BY 1, 2) GROUP BY 1")

@@ -214,13 +214,15 @@ def track_rollup(t):
 
 @register(
     "session_config",
-    "SELECT CAST(sum(n) AS INT) AS n_sides, CAST(sum(n // 2) AS INT) AS n_pairs FROM (SELECT user_id, count(*) AS n FROM {events} GROUP BY 1)",
+    """SELECT concat('session_', lpad(CAST((rn - 1) // 2 AS STRING), 4, '0'), CASE WHEN b IS NULL THEN '_incompleta' ELSE '' END) AS pair_key, a AS pill_video, b AS label_video, CASE WHEN b IS NULL THEN 0 ELSE 1 END AS n_pairs
+       FROM (SELECT CAST(event_id AS STRING) AS a, lead(CAST(event_id AS STRING)) OVER w AS b, row_number() OVER w AS rn FROM {events} WINDOW w AS (ORDER BY ts, CAST(event_id AS STRING))) WHERE rn % 2 = 1""",
 )
 def session_config(t):
-    """One configuration of all recordings: their sides, and the complete pairs."""
-    videos = t("events").select("user_id", F.col("event_id").cast("string").alias("stem"), F.col("ts").alias("capture_time"), F.lit("mtime").alias("time_source"))
-    plan = grouping.sessions(videos, ("user_id",))
-    return grouping.session_config(plan).select(F.size("video_sides").alias("n_sides"), F.size("video_pairs").alias("n_pairs"))
+    """The configuration of all recordings as one sequence: the sides of each session, and its pair if it is complete."""
+    videos = t("events").select(F.col("event_id").cast("string").alias("stem"), F.col("ts").alias("capture_time"), F.lit("mtime").alias("time_source"))
+    rows = grouping.session_config(grouping.sessions(videos))
+    of = lambda side: F.get(F.map_keys(F.map_filter("video_sides", lambda k, v: v == side)), F.lit(0))
+    return rows.select("pair_key", of("pill_side").alias("pill_video"), of("label_side").alias("label_video"), F.size("video_pairs").alias("n_pairs"))
 
 
 @register("first_existing", "SELECT c_custkey AS key, min(CASE WHEN (c_custkey + k) % 4 = 0 THEN concat(CAST(k AS STRING), '/', CAST(c_custkey AS STRING)) END) AS path FROM {customer}, (VALUES (0), (1), (2)) AS v(k) WHERE (c_custkey + k) % 4 = 0 GROUP BY 1")

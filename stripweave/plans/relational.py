@@ -243,13 +243,17 @@ def item_histogram(t):
     return sampling.histogram(lists, F.size("lines"))
 
 
-@register("hash_split")
+@register(
+    "hash_split",
+    """SELECT track_pair_id, pair_key, CASE WHEN place <= greatest(1, CAST(floor(0.15 * n) AS BIGINT)) THEN 'val' ELSE 'train' END AS split
+       FROM {pairs} JOIN (SELECT pair_key, row_number() OVER (ORDER BY md5(concat('42:', pair_key)), pair_key) AS place, count(*) OVER () AS n FROM (SELECT DISTINCT pair_key FROM {pairs})) USING (pair_key)""",
+)
 def hash_split(t):
-    """A seeded split that keeps a customer's pairs together; only Spark knows the hash."""
+    """A seeded split that keeps a customer's pairs together."""
     return sampling.split(t("pairs"), "track_pair_id", group="pair_key").select("track_pair_id", "pair_key", "split")
 
 
-@register("review_sample")
+@register("review_sample", "SELECT track_pair_id, pair_key FROM {pairs} WHERE status = 'paired' ORDER BY md5(concat('42:', CAST(track_pair_id AS STRING))), track_pair_id LIMIT 25")
 def review_sample(t):
     return sampling.sample(t("pairs").where("status = 'paired'"), 25, "track_pair_id").select("track_pair_id", "pair_key")
 

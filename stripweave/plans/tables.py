@@ -119,4 +119,7 @@ def oracle(sql: str) -> str:
     body = plain(sql).strip()
     if not needed:
         return body
-    return f"WITH {heads}, {body[5:]}" if body.upper().startswith("WITH ") else f"WITH {heads} {body}"
+    for start in ("WITH RECURSIVE ", "WITH "):
+        if body.upper().startswith(start):
+            return f"{start}{heads}, {body[len(start) :]}"
+    return f"WITH {heads} {body}"

@@ -121,8 +121,8 @@ def test_command_line(spark, catalog, tmp_path, capsys):
     assert cli.settings_of(str(tmp_path / "c.yaml"), str(tmp_path / "s.json")).top_k == 3
     assert cli.main(["rebuild-pairs", catalog.root, "--config", str(tmp_path / "c.yaml")]) == 0
     assert cli.main(["review-queue", catalog.root, "--status", "all", "--show-empty"]) == 0
-    (tmp_path / "A.mp4").write_bytes(b"")
-    (tmp_path / "B.mp4").write_bytes(b"")
+    (tmp_path / "A.mp4").write_bytes(b"x")
+    (tmp_path / "B.mp4").write_bytes(b"x")
     assert cli.main(["plan-sessions", str(tmp_path), str(tmp_path / "plan")]) == 0
     assert spark.read.json(str(tmp_path / "plan")).count() == 1
     assert cli.main(["query", "/root/testdata/sf0.001", "review_summary"]) == 0

@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from stripweave import cli
 from stripweave.operators import grouping, identify, matching, review, sampling, sheets, tracking
 from stripweave.sources import readers, sinks
 
@@ -126,14 +127,18 @@ def test_by_seam(spark):
     assert got["w", 0][1] and not got["w", 1][1] and got["w", 1][0] == [21, 22]
 
 
-def test_sessions(spark):
+def test_sessions(spark, tmp_path):
     at = lambda s: datetime.datetime(2026, 3, 1, 10) + datetime.timedelta(seconds=s)
     rows = spark.createDataFrame([("b", at(32), "metadata"), ("a", at(0), "metadata"), ("d", at(700), "mtime"), ("c", at(200), "metadata"), ("e", at(900), "mtime")], "stem string, capture_time timestamp, time_source string")
     found = grouping.sessions(rows).orderBy("pair_key").collect()
     assert [(r.pill_video, r.label_video, r.gap_seconds, r.status, r.time_source) for r in found] == [("a", "b", 32.0, "ok", "metadata"), ("c", "d", 500.0, "needs_review", "mtime"), ("e", None, 0.0, "needs_review", "mtime")]
     assert found[2].pair_key == "session_0002_incompleta"
-    row = grouping.session_config(grouping.sessions(rows)).first()
-    assert row.video_sides == {"a": "pill_side", "b": "label_side", "c": "pill_side", "d": "label_side", "e": "pill_side"} and [p.pair_key for p in row.video_pairs] == ["session_0000", "session_0001"]
+    config = grouping.session_config(grouping.sessions(rows)).orderBy("pair_key").collect()
+    assert [r.video_sides for r in config] == [{"a": "pill_side", "b": "label_side"}, {"c": "pill_side", "d": "label_side"}, {"e": "pill_side"}]
+    assert [[p.pair_key for p in r.video_pairs] for r in config] == [["session_0000"], ["session_0001"], []]
+    sinks.write_json(grouping.session_config(grouping.sessions(rows)), str(tmp_path / "sessions"))
+    settings = cli.settings_of(str(tmp_path / "sessions"))
+    assert settings.video_sides == {"a": "pill_side", "b": "label_side", "c": "pill_side", "d": "label_side", "e": "pill_side"} and len(settings.video_pairs) == 2
 
 
 def side(spark, *rows):
@@ -255,6 +260,9 @@ def test_review_overlay_and_sampling(spark):
     parts = sampling.split(rows, "id", group="g").groupBy("g").agg(F.countDistinct("split").alias("n")).collect()
     assert all(r.n == 1 for r in parts) and sampling.split(rows, "id").where("split = 'val'").count() == 15
     assert sampling.sample(rows, 7, "id").collect() == sampling.sample(rows.repartition(5), 7, "id").collect()
+    assert sampling.split(rows.limit(0), "id").count() == 0 and sampling.split(rows.limit(3), "id").where("split = 'val'").count() == 1
+    covered = spark.createDataFrame([("a.jpg", ["p::0"])], "crop_path string, pouches array<string>")
+    assert sampling.batch_document(covered).first().document == '{"crop_path":"a.jpg","pouches":["p::0"]}'
     documents = sampling.task_documents(
         spark.createDataFrame([("bags/a.jpg", 100, 50)], "crop_path string, width int, height int"), spark.createDataFrame([("bags/a.jpg", 0, [10.0, 10.0, 50.0, 25.0])], "crop_path string, number int, polygon array<double>"),
         spark.createDataFrame([("bags/a.jpg", ["p::0"])], "crop_path string, pouches array<string>"),
