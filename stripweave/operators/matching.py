@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULTS, Settings
 from ..functions import scoring as S
 from ..functions import text as T
+from ..sources.sinks import settled
 
 
 def direct(pills: DataFrame, labels: DataFrame, keys: tuple[str, ...] = ("pair_key",)) -> DataFrame:
@@ -55,8 +56,15 @@ def position_candidates(targets: DataFrame, pills: DataFrame, cells: tuple[str,
 
 
 def position(candidates: DataFrame, used: DataFrame) -> DataFrame:
-    """Nearest photo for each label group, in the groups' order, each photo once; ``used(pair_key, bag_id)`` are taken."""
+    """Nearest photo for each label group, in the groups' order, each photo once; ``used(pair_key, bag_id)`` are taken.
+
+    The choice is sequential within a pair of recordings, over as many free photos of a group as its pair has groups: the
+    groups before it can't take more.
+    """
     free = candidates.join(used.select("pair_key", "bag_id").distinct(), ["pair_key", "bag_id"], "left_anti")
+    groups = F.size(F.collect_set("label_group").over(Window.partitionBy("pair_key")))
+    nearest = F.row_number().over(Window.partitionBy("pair_key", "label_group").orderBy("distance", "bag_id"))
+    free = free.withColumns({"nearest": nearest, "groups": groups}).where(F.col("nearest") <= F.col("groups"))
 
     def choose(pdf: pd.DataFrame) -> pd.DataFrame:
         taken: set[int] = set()
@@ -104,12 +112,13 @@ def match(pill_groups: DataFrame, label_groups: DataFrame, pill_photos: DataFram
     sides, or a side alone, with ``order_index`` running through the tiers.
     """
     named = pairs.select("pair_key", "pill_video", "label_video", (F.col("direction") == "reverse").alias("reversed"))
-    first = direct(pill_groups, label_groups)
+    label_groups = settled(label_groups)
+    first = settled(direct(pill_groups, label_groups))
     used = first.select("pair_key", F.explode("pill_bag_ids").alias("bag_id"))
     rest = label_groups.join(first.select("pair_key", F.col("label_group").alias("group_no")), ["pair_key", "group_no"], "left_anti")
     some = rest.where(F.size("merged_items") > 0).select("pair_key", F.col("group_no").alias("label_group"), "position").where("position is not null")
     near = position_candidates(position_targets(some, pan_ranges(frames), settings), pill_photos)
-    second = position(near, used)
+    second = settled(position(near, used))
     counts = first.groupBy("pair_key").agg(F.count("*").alias("n_direct"))
     order = F.row_number().over(Window.partitionBy("pair_key").orderBy("label_group")) - 1
     second = second.withColumn("nth", order).join(counts, "pair_key", "left").withColumn("order_index", (F.col("nth") + F.coalesce("n_direct", F.lit(0))).cast("int"))

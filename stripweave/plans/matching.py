@@ -128,12 +128,31 @@ def position_candidates(t):
     return matching.position_candidates(wanted, photos).where("rank <= 3").select("pair_key", F.col("label_group").cast("long").alias("label_group"), "bag_id", F.round("distance", 6).alias("distance"))
 
 
-@register("position_match_greedy")
+#: The groups of a pair one after the other, each with the first of its photos (by distance) that none before it took.
+WALK = """
+  walk AS (
+    SELECT pair_key, CAST(0 AS BIGINT) AS nth, CAST(NULL AS BIGINT) AS label_group, CAST(NULL AS BIGINT) AS bag_id, CAST([] AS BIGINT[]) AS taken FROM (SELECT DISTINCT pair_key FROM cand)
+    UNION ALL
+    SELECT pair_key, nth, label_group, bag_id, CASE WHEN bag_id IS NULL THEN taken ELSE list_append(taken, bag_id) END FROM (
+      SELECT c.pair_key, c.nth, c.label_group, w.taken, list_filter(c.bags, lambda x: NOT list_contains(w.taken, x))[1] AS bag_id
+      FROM walk w JOIN cand c ON c.pair_key = w.pair_key AND c.nth = w.nth + 1))"""
+
+
+@register(
+    "position_match_greedy",
+    f"""WITH RECURSIVE near AS (
+          SELECT t.pair_key, t.label_group, e.event_id AS bag_id, abs(e.value - t.target) AS distance FROM ({TARGETS}) t
+          JOIN {{events}} e ON e.user_id = t.pair_key AND e.event_type = 'view' AND abs(e.value - t.target) <= t.tolerance WHERE e.event_id % 9 <> 0),
+        cand AS (SELECT pair_key, label_group, list(bag_id ORDER BY distance, bag_id) AS bags, row_number() OVER (PARTITION BY pair_key ORDER BY label_group) AS nth FROM near GROUP BY 1, 2),
+        {WALK}
+        SELECT pair_key, label_group, bag_id, round(distance, 6) AS distance FROM walk JOIN near USING (pair_key, label_group, bag_id)""",
+)
 def position_match_greedy(t):
-    """Each photo once, in the groups' order; sequential, so there's no oracle."""
+    """Each photo once, in the groups' order."""
     wanted, photos = targets(t)
     near = matching.position_candidates(wanted, photos)
-    return matching.position(near, photos.where("bag_id % 9 = 0"))
+    found = matching.position(near, photos.where("bag_id % 9 = 0"))
+    return found.select("pair_key", F.col("label_group").cast("long").alias("label_group"), "bag_id", F.round("distance", 6).alias("distance"))
 
 
 SIDES = """SELECT user_id AS pair_key, event_type, event_id, least(1.0, value / 200) AS quality, row_number() OVER (PARTITION BY user_id, event_type ORDER BY value {down}, event_id {down}) - 1 AS rank FROM {{events}} WHERE event_type = '{kind}'"""
@@ -164,18 +183,65 @@ def ordinal_zip_reverse(t):
     return zip_sides(t, True)
 
 
-@register("full_match_pipeline")
+KEY = "concat({stem}, CAST(pair_key AS STRING), ':{side}:{kind}:', CASE WHEN {n} < 10000 THEN lpad(CAST({n} AS STRING), 4, '0') ELSE CAST({n} AS STRING) END)"
+
+
+def _key(side: str, kind: str, number: str) -> str:
+    return KEY.format(stem=f"'{side}'", side=f"{side}_side", kind=kind, n=number)
+
+
+#: All tiers as relations, the position tier as a recursion over each pair's groups.
+FULL = f"""WITH RECURSIVE o AS (SELECT bag_id, video AS pair_key, side, frame_index, value, quality_score, seam_prominence, mean_confidence, dose_date, dose_slot FROM {{obs}}),
+  g AS (SELECT pair_key, side, dose_date, dose_slot, list(bag_id) AS bags, arg_max(bag_id, (mean_confidence, -bag_id)) AS best, sum(frame_index) / count(*) AS center, max(quality_score) AS quality FROM o WHERE side <> 'unknown' GROUP BY 1, 2, 3, 4),
+  labs AS (SELECT g.*, row_number() OVER (PARTITION BY g.pair_key ORDER BY g.center, concat('sig|', g.dose_date, '|', g.dose_slot)) - 1 AS no, o.value AS position FROM g JOIN o ON o.bag_id = g.best WHERE g.side = 'label_side'),
+  d AS (SELECT p.pair_key, l.no, p.best AS pill_bag, l.best AS label_bag, p.bags, row_number() OVER (PARTITION BY p.pair_key ORDER BY p.dose_date, p.dose_slot) - 1 AS order_index
+        FROM g p JOIN labs l ON p.pair_key = l.pair_key AND p.dose_date = l.dose_date AND p.dose_slot = l.dose_slot WHERE p.side = 'pill_side'),
+  used AS (SELECT pair_key, unnest(bags) AS bag_id FROM d),
+  rest AS (SELECT * FROM labs l WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.pair_key = l.pair_key AND d.no = l.no)),
+  r AS (SELECT pair_key, min(value) FILTER (side = 'pill_side') AS pl, max(value) FILTER (side = 'pill_side') AS ph, min(value) FILTER (side = 'label_side') AS ll, max(value) FILTER (side = 'label_side') AS lh FROM o GROUP BY 1),
+  near AS (SELECT rest.pair_key, rest.no AS label_group, o.bag_id, abs(o.value - (pl + (position - ll) / (lh - ll) * (ph - pl))) AS distance FROM rest JOIN r ON r.pair_key = rest.pair_key JOIN o ON o.pair_key = rest.pair_key AND o.side = 'pill_side'
+        WHERE rest.no % 4 <> 0 AND lh > ll AND abs(o.value - (pl + (position - ll) / (lh - ll) * (ph - pl))) <= 0.08 * (ph - pl) AND o.bag_id NOT IN (SELECT bag_id FROM used)),
+  cand AS (SELECT pair_key, label_group, list(bag_id ORDER BY distance, bag_id) AS bags, row_number() OVER (PARTITION BY pair_key ORDER BY label_group) AS nth FROM near GROUP BY 1, 2),
+  {WALK},
+  nd AS (SELECT pair_key, count(*) AS n FROM d GROUP BY 1),
+  s AS (SELECT w.pair_key, w.label_group AS no, w.bag_id, row_number() OVER (PARTITION BY w.pair_key ORDER BY w.label_group) - 1 + coalesce(nd.n, 0) AS order_index FROM walk w LEFT JOIN nd ON nd.pair_key = w.pair_key WHERE w.bag_id IS NOT NULL),
+  ns AS (SELECT pair_key, count(*) AS n FROM s GROUP BY 1),
+  e AS (SELECT *, seam_prominence >= 3.0 AS elevated FROM o WHERE side = 'pill_side'),
+  z AS (SELECT *, elevated OR coalesce(frame_index - max(CASE WHEN elevated THEN frame_index END) OVER (PARTITION BY pair_key ORDER BY frame_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) <= 15
+        AND min(CASE WHEN elevated THEN frame_index END) OVER (PARTITION BY pair_key ORDER BY frame_index ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) - frame_index <= 15, false) AS inside FROM e),
+  zz AS (SELECT *, sum(CASE WHEN inside <> prev THEN 1 ELSE 0 END) OVER (PARTITION BY pair_key ORDER BY frame_index ROWS UNBOUNDED PRECEDING) AS no FROM (SELECT *, lag(inside) OVER (PARTITION BY pair_key ORDER BY frame_index) AS prev FROM z)),
+  seams AS (SELECT pair_key, no, inside, list(bag_id) AS bags, arg_max(bag_id, (quality_score, -frame_index)) AS best, sum(frame_index) / count(*) AS center, max(quality_score) AS quality FROM zz GROUP BY 1, 2, 3),
+  taken AS (SELECT pair_key, list(bag_id) AS ids FROM (SELECT pair_key, bag_id FROM used UNION ALL SELECT pair_key, bag_id FROM s) GROUP BY 1),
+  p AS (SELECT *, row_number() OVER (PARTITION BY pair_key ORDER BY center, no) - 1 AS rank FROM (SELECT seams.* FROM seams LEFT JOIN taken ON taken.pair_key = seams.pair_key WHERE NOT inside AND NOT coalesce(list_has_any(bags, ids), false))),
+  q AS (SELECT *, CASE WHEN pair_key % 2 = 0 THEN number ELSE count(*) OVER (PARTITION BY pair_key) - 1 - number END AS rank FROM (
+        SELECT *, row_number() OVER (PARTITION BY pair_key ORDER BY center, no) - 1 AS number FROM rest WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.pair_key = rest.pair_key AND s.no = rest.no))),
+  np AS (SELECT pair_key, count(*) AS n FROM p GROUP BY 1), nq AS (SELECT pair_key, count(*) AS n FROM q GROUP BY 1),
+  m AS (SELECT coalesce(p.pair_key, q.pair_key) AS pair_key, coalesce(p.rank, q.rank) AS rank, p.no AS seam, p.best AS pill_bag, p.quality AS pq, q.number, q.best AS label_bag, q.quality AS lq FROM p FULL JOIN q ON p.pair_key = q.pair_key AND p.rank = q.rank),
+  scored AS (SELECT m.*, CASE WHEN pill_bag IS NOT NULL AND label_bag IS NOT NULL THEN round(greatest(0.0, least(1.0, 0.55 + 0.25 * (least(np.n, nq.n) / greatest(1, greatest(np.n, nq.n))) + 0.20 * (pq + lq) / 2.0)), 6) ELSE 0.0 END AS score,
+        rank + coalesce(nd.n, 0) + coalesce(ns.n, 0) AS order_index FROM m LEFT JOIN np ON np.pair_key = m.pair_key LEFT JOIN nq ON nq.pair_key = m.pair_key LEFT JOIN nd ON nd.pair_key = m.pair_key LEFT JOIN ns ON ns.pair_key = m.pair_key)
+  SELECT pair_key, CAST(order_index AS INT) AS order_index, {_key("pill", "direct", "order_index")} AS pill_track, {_key("label", "direct", "order_index")} AS label_track, pill_bag, label_bag, label_bag AS label_ocr, CAST(1.0 AS DOUBLE) AS match_score, 'paired' AS status, 'direct' AS match_tier FROM d
+  UNION ALL SELECT s.pair_key, CAST(s.order_index AS INT), {_key("pill", "position", "s.order_index").replace("CAST(pair_key", "CAST(s.pair_key")}, {_key("label", "position", "s.order_index").replace("CAST(pair_key", "CAST(s.pair_key")}, s.bag_id, labs.best, labs.best, CAST(0.75 AS DOUBLE), 'position_matched', 'position' FROM s JOIN labs ON labs.pair_key = s.pair_key AND labs.no = s.no
+  UNION ALL SELECT pair_key, CAST(order_index AS INT), CASE WHEN pill_bag IS NOT NULL THEN {_key("pill", "seam", "seam")} END, CASE WHEN label_bag IS NOT NULL THEN {_key("label", "header", "number")} END, pill_bag, label_bag, label_bag, CAST(score AS DOUBLE),
+        CASE WHEN pill_bag IS NULL THEN 'unmatched_label' WHEN label_bag IS NULL THEN 'unmatched_pill' WHEN score >= 0.70 THEN 'paired' ELSE 'review' END, CASE WHEN pill_bag IS NULL OR label_bag IS NULL THEN 'unmatched' ELSE 'ordinal' END FROM scored"""
+
+
+@register("full_match_pipeline", FULL)
 def full_match_pipeline(t):
-    """All tiers over all pairs of recordings. The position tier is sequential, so there's no oracle."""
-    pills, labels = groups(t, "pill_side"), groups(t, "label_side")
+    """All tiers over all pairs of recordings. Centres are frame numbers, so that means are exact."""
+
+    def grouped(side: str):
+        rows = t("obs").where(F.col("side") == side).withColumn("center_norm", F.col("frame_index").cast("double"))
+        return grouping.by_header(rows.withColumn("items", F.expr(NO_ITEMS)).withColumn("pair_key", F.col("video")), ("pair_key",), merge=False)
+
+    pills, labels = grouped("pill_side"), grouped("label_side")
     obs = t("obs").withColumn("pair_key", F.col("video"))
     places = obs.select(F.col("bag_id").alias("best_bag_id"), F.col("value").alias("position"))
     one = F.struct(F.lit(0).alias("line_index"), F.lit(1.0).alias("quantity"), F.lit("X").alias("drug_name"), F.lit(1.0).alias("dose_value"), F.lit("MG").alias("dose_unit"), F.lit("").alias("raw_line"))
     labels = labels.join(places, "best_bag_id").withColumn("merged_items", F.when(F.col("group_no") % 4 == 0, F.col("merged_items")).otherwise(F.array(one)))
     photos = obs.where("side = 'pill_side'").select("pair_key", "bag_id", F.col("value").alias("position"))
-    seams = grouping.by_seam(grouping.with_center(obs.where("side = 'pill_side'"), ("pair_key",)), ("pair_key",))
+    seams = grouping.by_seam(obs.where("side = 'pill_side'").withColumn("center_norm", F.col("frame_index").cast("double")), ("pair_key",))
     frames = obs.select("pair_key", "side", F.lit(True).alias("strip_detected"), F.col("value").alias("cumulative_pan_px"))
-    pairs = obs.select("pair_key").distinct().select("pair_key", F.concat(F.lit("pill"), "pair_key").alias("pill_video"), F.concat(F.lit("label"), "pair_key").alias("label_video"), F.when(F.col("pair_key") % 2 == 0, "direct").otherwise("reverse").alias("direction"))
+    pairs = obs.select("pair_key").distinct().select("pair_key", F.concat(F.lit("pill"), F.col("pair_key").cast("string")).alias("pill_video"), F.concat(F.lit("label"), "pair_key").alias("label_video"), F.when(F.col("pair_key") % 2 == 0, "direct").otherwise("reverse").alias("direction"))
     return matching.match(pills, labels, photos, seams, frames, pairs)
 
 

@@ -42,6 +42,17 @@ def update(rows: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
     return joined.select(*(F.coalesce(f"_new_{c}", c).alias(c) if c in changed else F.col(c) for c in rows.columns))
 
 
+def settled(rows: DataFrame) -> DataFrame:
+    """A table that several branches of a plan read, made once: in the checkpoint folder where one is set, else kept."""
+    spark = rows.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        return rows.persist()
+    path = f"{folder.rstrip('/')}/stripweave-settled-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def evolved(rows: DataFrame, schema: str, keys: list[str]) -> DataFrame:
     """``rows`` with the columns that the schema has beyond it, as nulls. A missing key column can't be made up."""
     from pyspark.sql.types import StructType
