@@ -253,6 +253,20 @@ def fuzzy_merge(t):
     return grouping.merge_group_items(rows, ["p_brand"]).select("p_brand", F.inline("merged_items"))
 
 
+@register(
+    "fuzzy_merge_names",
+    """SELECT p_brand, CAST(row_number() OVER (PARTITION BY p_brand ORDER BY first) - 1 AS INT) AS line_index, 1.0::DOUBLE AS quantity, drug_name, dose_value, raw_line FROM (
+         SELECT p_brand, upper(md5(concat(p_brand, CAST(p_partkey % 7 AS STRING)))) AS drug_name, min(p_partkey) AS first,
+                CAST(arg_min(p_size, p_partkey) FILTER (p_size % 3 <> 0) AS DOUBLE) AS dose_value, arg_min(p_name, (p_size % 3 = 0, p_partkey)) AS raw_line FROM {part} GROUP BY 1, 2)""",
+)
+def fuzzy_merge_names(t):
+    """Names that are equal or have little in common, so that a cluster is a name; the first with a dose stands for it."""
+    name = F.upper(F.md5(F.concat("p_brand", (F.col("p_partkey") % 7).cast("string")).cast("binary")))
+    item = F.struct(F.lit(0).alias("line_index"), F.lit(1.0).alias("quantity"), name.alias("drug_name"), F.when(F.col("p_size") % 3 != 0, F.col("p_size").cast("double")).alias("dose_value"), F.lit("MG").alias("dose_unit"), F.col("p_name").alias("raw_line"))
+    rows = t("part").groupBy("p_brand").agg(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", item.alias("item")))), lambda x: x.item).alias("items")).withColumn("seq", F.lit(0).cast("long"))
+    return grouping.merge_group_items(rows, ["p_brand"]).select("p_brand", F.inline("merged_items")).drop("dose_unit")
+
+
 def tracker_input(t):
     """Vectors as observations: ten frames a label, five observations a frame."""
     e = t("embeddings")
@@ -270,6 +284,20 @@ def tracker(t):
     return tracking.track(tracker_input(t))
 
 
+@register(
+    "tracker_steady",
+    """SELECT concat('v', CAST(label AS STRING)) AS video, vec_id AS bag_id, concat('v', CAST(label AS STRING), ':pill_side:track000', CAST(i + 1 AS STRING)) AS track_key,
+              CASE WHEN f = 0 THEN 1.0 ELSE round(0.72 + 0.20 + 0.08 * greatest(0, 1 - abs(i - least(last, f - 1)) / last), 6) END AS score, coalesce(q > before, false) AS is_best
+       FROM (SELECT *, greatest(1, count(*) OVER (PARTITION BY label, f) - 1) AS last, max(q) OVER (PARTITION BY label, i ORDER BY f ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+             FROM (SELECT label, vec_id, rn // 5 AS f, rn % 5 AS i, (vec_id % 17) / 17.0 AS q FROM (SELECT label, vec_id, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS rn FROM {embeddings})))""",
+)
+def tracker_steady(t):
+    """Observations that look like their place in the frame and nothing else, so that each place is one track."""
+    i = F.col("bag_index_in_frame")
+    rows = tracker_input(t).withColumn("descriptor", F.array(*(F.when(i == k, 1.0).otherwise(0.0) for k in range(5))))
+    return tracking.track(rows).select("video", "bag_id", "track_key", F.round("track_match_score", 6).alias("score"), "is_best")
+
+
 @register("track_rollup", """SELECT concat('v', CAST(label AS STRING)) AS video, count(*) AS observation_count, arg_min(vec_id, rn) AS first_bag_id, arg_max(vec_id, rn) AS last_bag_id, arg_max(vec_id, (q, -rn)) AS best_bag_id, round(max(q), 6) AS best_quality
     FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS rn, 0.65 * ((vec_id % 17) / 17.0) + 0.35 * 0.5 AS q FROM {embeddings}) GROUP BY 1""")
 def track_rollup(t):

@@ -122,6 +122,26 @@ def optimal_assignment(t):
     return identify.assign(identify.best_scores(pills, shown), expected)
 
 
+@register(
+    "assignment_total",
+    f"""WITH sc AS (SELECT p_partkey, p_partkey % 100 AS bucket, rank % 3 + 1 AS quantity, color, CASE WHEN contains(colors, color) THEN 2 ELSE 0 END + CASE WHEN contains(shapes, 'redondo') THEN 1 ELSE 0 END AS score
+          FROM (SELECT *, {_found(T.COLORS)} AS colors, {_found(T.SHAPES)} AS shapes FROM ({LOOKS})) CROSS JOIN (VALUES ('blanco'), ('azul')) AS v(color)),
+        pl AS (SELECT event_id // 2 AS image_id, CASE WHEN event_type = 'view' THEN 'blanco' ELSE 'azul' END AS color, row_number() OVER (PARTITION BY event_id // 2 ORDER BY event_id) AS k FROM {{events}}),
+        im AS (SELECT a.image_id, a.color AS one, b.color AS two FROM pl a LEFT JOIN pl b ON b.image_id = a.image_id AND b.k = 2 WHERE a.k = 1),
+        best AS (SELECT x.bucket, x.color AS one, y.color AS two, max(x.score + y.score) AS total FROM sc x JOIN sc y ON x.bucket = y.bucket AND (x.p_partkey <> y.p_partkey OR x.quantity >= 2) GROUP BY ALL
+                 UNION ALL SELECT bucket, color, NULL, max(score) FROM sc GROUP BY ALL)
+        SELECT image_id, CAST(total AS BIGINT) AS total FROM im JOIN best ON best.bucket = im.image_id % 100 AND best.one = im.one AND best.two IS NOT DISTINCT FROM im.two""",
+)
+def assignment_total(t):
+    """The greatest total score of images of two pills, which brute force over pairs of units can tell."""
+    image = F.floor(F.col("event_id") / 2)
+    pills = t("events").select(image.alias("image_id"), F.col("event_id").alias("pill_id"), F.when(F.col("event_type") == "view", "blanco").otherwise("azul").alias("color"), F.lit("redondo").alias("shape"))
+    named = looks(t).withColumns({"bucket": F.col("p_partkey") % 100, "drug": F.concat_ws("-", "drug", "p_partkey")})
+    named = pills.select("image_id", (F.col("image_id") % 100).alias("bucket")).distinct().join(named, "bucket")
+    found = identify.assign(identify.best_scores(pills, named.select("image_id", "drug", "presentation", "description", "rank")), named.select("image_id", "drug", (F.col("rank") % 3 + 1).alias("quantity")))
+    return found.groupBy("image_id").agg(F.sum(F.coalesce("score", F.lit(0))).alias("total"))
+
+
 REGISTRY = "SELECT p_partkey AS nregistro, concat(p_type, ' ', p_name) AS name, CASE WHEN p_size % 2 = 0 THEN 'SMALL' WHEN p_size % 3 = 0 THEN 'ALFA' WHEN p_size % 5 = 0 THEN 'BETA' ELSE p_type END AS ingredient, p_size % 7 <> 0 AS marketed FROM {part}"
 
 
