@@ -70,5 +70,17 @@ QUERIES = {
     "op10_mixing": op10_mixing,
 }
 
-#: None of these contracts can be written in SQL without user code; tests hold them against brute force.
-ORACLES: dict[str, str] = {}
+#: The links by their definition: all pairs that share a shingle, and all that can be reached over links.
+NEAR_DUPLICATES = """
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words FROM documents),
+  s AS (SELECT doc_id, CASE WHEN len(words) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+               ELSE list_distinct([array_to_string(words[i:i + 4], ' ') for i in range(1, len(words) - 3)]) END AS shingles FROM w),
+  x AS (SELECT doc_id, unnest(shingles) AS shingle FROM s),
+  pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM x a JOIN x b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+  links AS (SELECT a, b FROM pairs JOIN s p ON p.doc_id = a JOIN s q ON q.doc_id = b WHERE 100 * shared >= 85 * (len(p.shingles) + len(q.shingles) - shared)),
+  ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+  reach AS (SELECT doc_id AS id, doc_id AS found FROM s UNION SELECT reach.id, ways.b FROM reach JOIN ways ON ways.a = reach.found)
+SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN (SELECT id, min(found) AS component_id FROM reach GROUP BY 1) ON id = doc_id"""
+
+#: The other contracts can't be written in SQL without user code, or are approximate; tests hold them against brute force.
+ORACLES: dict[str, str] = {"op2_minhash": NEAR_DUPLICATES}

@@ -173,6 +173,17 @@ def test_near_duplicates(spark, awkward, monkeypatch, pairs, block):
     assert Counter(map(tuple, found)) == brute_links(rows)
 
 
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_oracles(spark, name):
+    import duckdb
+
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{SMALL}/documents.parquet'")
+    found = queries.QUERIES[name](spark, SMALL)
+    want = duck.execute(f"SELECT {', '.join(found.columns)} FROM ({queries.ORACLES[name]})").fetchall()
+    assert Counter(map(tuple, found.collect())) == Counter(want)
+
+
 def test_a_text_goes_only_if_one_like_it_stays(spark):
     a, b, c = (words(random.Random(i), 40) for i in range(3))
     rows = [(5, a), (11, a), (11, b), (11, b), (12, b.upper()), (13, ""), (14, None), (None, a), (2, c), (2, c + " x"), (3, c)]
