@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
+from bisect import bisect_left
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -17,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from xxhash import xxh64_intdigest
 
 from .common import map_texts
 
@@ -25,8 +28,8 @@ UNKNOWN = "und"
 #: The most rows that the model is fitted on: those with the least hash of doc_id, the same at every run.
 TRAINING_ROWS = 3_000
 ORDER = 5
-#: Unseen words whose scores a worker remembers; with more it forgets them and begins anew.
-WORD_CACHE = 60_000
+#: Words whose scores a worker remembers; with more it forgets them and begins anew.
+WORD_CACHE = 120_000
 
 
 def words_of(text: str) -> list[str]:
@@ -37,33 +40,50 @@ def words_of(text: str) -> list[str]:
     return [p for w in found for p in ((w,) if w.isalpha() else "".join(c if c.isalpha() else " " for c in w).split())]
 
 
+def key_of(text: str) -> int:
+    return xxh64_intdigest(text.encode("utf-8", "surrogatepass"))
+
+
+class Frequencies:
+    """Per-language log frequencies of strings, relative to the mean over the languages: sorted hashes, and a row for each."""
+
+    def __init__(self, counts: dict[str, Counter], langs: list[str]) -> None:
+        strings = list(set().union(*counts.values()))
+        hashes = np.array([key_of(x) for x in strings], np.uint64)
+        order = np.argsort(hashes)
+        self.keys = array("Q", hashes[order].tobytes())
+        table = np.array([[counts[k][strings[i]] for k in langs] for i in order.tolist()], float).reshape(len(strings), len(langs)) + 0.5
+        table = np.log(table / np.array([sum(counts[k].values()) + 0.5 * len(strings) for k in langs]))
+        self.rows = table - table.sum(axis=1, keepdims=True) / max(1, len(langs))
+
+    def find(self, text: str) -> np.ndarray | None:
+        key = key_of(text)
+        at = bisect_left(self.keys, key)
+        return self.rows[at] if at < len(self.keys) and self.keys[at] == key else None
+
+
 class Model:
-    """Per-language log frequencies of words and of n-grams."""
+    """Frequencies of words and of n-grams. A language's share of the training rows isn't used: sources differ in it."""
 
     def __init__(self, rows: list[tuple[str, str]], *, order: int = ORDER) -> None:
         words: dict[str, Counter] = defaultdict(Counter)
         for lang, text in rows:
             words[lang].update(words_of(text))
-        self.langs = sorted(words)
-        self.order = order
-        grams: list[dict[str, Counter]] = [defaultdict(Counter) for _ in range(order + 1)]
-        for lang, c in words.items():
-            for w, n in c.items():
-                shown = f"^{w}$"
-                for size in range(1, order + 1):
+        self.langs, self.order = sorted(words), order
+        self.words = Frequencies(words, self.langs)
+        self.grams: list[Frequencies | None] = [None]
+        for size in range(1, order + 1):
+            grams: dict[str, Counter] = defaultdict(Counter)
+            for lang, c in words.items():
+                for w, n in c.items():
+                    shown = f"^{w}$"
                     for i in range(len(shown) - size + 1):
-                        grams[size][lang][shown[i : i + size]] += n
-        self.words, self.word_table = self._logs(words)
-        learned = [self._logs(by_lang) for by_lang in grams[1:]]
-        self.grams, self.gram_tables = [{}, *(x[0] for x in learned)], [None, *(x[1] for x in learned)]
-        # A language's share of the training rows isn't used: sources differ in it.
-
-    def _logs(self, counts: dict[str, Counter]) -> tuple[dict[str, int], np.ndarray]:
-        """An index of all that was counted, and the rows of log frequencies relative to the mean over the languages."""
-        keys = sorted(set().union(*counts.values()))
-        table = np.array([[counts[k][w] for k in self.langs] for w in keys], float).reshape(len(keys), len(self.langs)) + 0.5
-        table = np.log(table / np.array([sum(counts[k].values()) + 0.5 * len(keys) for k in self.langs]))
-        return {w: i for i, w in enumerate(keys)}, table - table.sum(axis=1, keepdims=True) / max(1, len(self.langs))
+                        grams[lang][shown[i : i + size]] += n
+            self.grams.append(Frequencies(grams, self.langs))
+
+    def scores(self, word: str) -> np.ndarray:
+        known = self.words.find(word)
+        return self.unseen(word) if known is None else known
 
     def unseen(self, word: str) -> np.ndarray:
         """Backoff over a word that isn't known: at each position the longest known n-gram.
@@ -74,10 +94,10 @@ class Model:
         shown, at, total, used = f"^{word}$", 0, np.zeros(len(self.langs)), 0
         while at < len(shown):
             size = min(self.order, len(shown) - at)
-            while size and (found := self.grams[size].get(shown[at : at + size])) is None:
+            while size and (found := self.grams[size].find(shown[at : at + size])) is None:
                 size -= 1
             if size:
-                total += self.gram_tables[size][found]
+                total += found
                 used += 1
             at += max(1, size - 1)
         return total / max(1, used)
@@ -87,25 +107,19 @@ _CACHES: dict[int, Scorer] = {}
 
 
 class Scorer(dict):
-    """Where in a growing table each word's scores are: the known words first, then unseen ones as they come."""
+    """Remembers where in a growing table each word's scores are."""
 
     def __init__(self, model: Model) -> None:
-        super().__init__(model.words)
-        self.model, self.known = model, len(model.words)
-        self.table = model.word_table
+        self.model = model
+        self.table = np.zeros((1024, len(model.langs)))
 
     def __missing__(self, word: str) -> int:
         i = self[word] = len(self)
-        if i >= len(self.table):
-            self.table = np.concatenate([self.table, np.zeros((max(1024, i - self.known), len(self.model.langs)))])
-        self.table[i] = self.model.unseen(word)
+        if i == len(self.table):
+            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+        self.table[i] = self.model.scores(word)
         return i
 
-    def forget(self) -> None:
-        while len(self) > self.known:
-            self.popitem()
-        self.table = self.model.word_table
-
     def predict(self, text: str | None) -> tuple[str, float]:
         """The language and its share of the posterior over the learned languages.
 
@@ -115,8 +129,8 @@ class Scorer(dict):
         words = words_of(text) if text else []
         if not words or not self.model.langs:
             return UNKNOWN, 0.0
-        if len(self) > self.known + WORD_CACHE:  # between texts, so the table holds one text's words besides
-            self.forget()
+        if len(self) > WORD_CACHE:  # between texts, so the table holds one text's words besides
+            self.clear()
         found = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
         total = self.table[found].sum(axis=0) / math.sqrt(len(words))
         best = int(total.argmax())

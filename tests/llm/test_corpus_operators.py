@@ -750,7 +750,7 @@ def test_language_fit_is_bounded_where_an_id_repeats(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     for n in (3, 50):
         model = language.fit(docs, rows=n)
-        assert 0 < len(model.langs) <= 2 and len(model.words) <= 4 + 2 * n
+        assert 0 < len(model.langs) <= 2 and len(model.words.keys) <= 4 + 2 * n
 
 
 # 10. Mixing
