@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager, suppress
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -35,16 +37,57 @@ def shared_dir(spark: SparkSession) -> str:
     return given.rstrip("/")
 
 
-def written(df: DataFrame, *, name: str = "part") -> DataFrame:
+_scratch: list[list[str]] = []
+
+
+def written(df: DataFrame, *, name: str = "part", keep: bool = False) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
-    It cuts the lineage, and any executor can read it again after another is lost.
+    It cuts the lineage, and any executor can read it again after another is lost. Within ``scratch`` the
+    table goes with the scope, or with the one around it (``keep``).
     """
     path = f"{shared_dir(df.sparkSession)}/stripweave-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    scopes = _scratch[:-1] if keep else _scratch
+    if scopes:
+        scopes[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables written within are deleted at the end; nothing that is used later may be planned on them."""
+    _scratch.append([])
+    try:
+        yield
+    finally:
+        for path in _scratch.pop():
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+_held: dict[str, Callable[[], object]] = {}
+
+
+def holds(name: str, forget: Callable[[], object]) -> None:
+    """An operator's caches in a worker, and how they are emptied."""
+    _held[name] = forget
+
+
+@contextmanager
+def task(name: str = "") -> Iterator[None]:
+    """Around a task in a worker: other operators' caches are emptied before, and free memory is given back after."""
+    for other, forget in _held.items():
+        if other != name:
+            forget()
+    try:
+        yield
+    finally:
+        pa.default_memory_pool().release_unused()
+        with suppress(OSError, AttributeError):
+            ctypes.CDLL(None).malloc_trim(0)
+
+
 def quoted(name: str) -> Column:
     """The column of that name, whatever characters are in it."""
     return F.col("`" + name.replace("`", "``") + "`")
@@ -92,16 +135,17 @@ def slices(batch: pa.RecordBatch, column: int = 0, limit: int = SLICE_BYTES) ->
 
 
 def map_texts(
-    df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | StructType, *, column: int
+    df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | StructType, *, column: int, name: str = ""
 ) -> DataFrame:
     """Apply ``function`` to Arrow batches of ``df`` cut by the bytes of the text in ``column``; columns go by their places."""
     schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     plain = [f"c{i}" for i in range(len(schema))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in slices(batch, column):
-                yield pa.RecordBatch.from_arrays(function(piece).columns, plain)
+        with task(name):
+            for batch in batches:
+                for piece in slices(batch, column):
+                    yield pa.RecordBatch.from_arrays(function(piece).columns, plain)
 
     # Column names may hold characters that can't be resolved.
     given = df.toDF(*(f"c{i}" for i in range(len(df.columns))))
@@ -116,6 +160,16 @@ def components(edges: DataFrame, *, rounds: int = 60) -> DataFrame:
     it joins, and the join of a node with very many edges is split.
     Ids in no edge are not returned; loops and nulls are ignored.
     """
+    with scratch(edges.sparkSession):
+        edges = written(_contracted(edges, rounds), name="components", keep=True)
+    roots = edges.select(F.col("b").alias("id")).distinct()
+    return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(
+        roots.select("id", F.col("id").alias("component"))
+    )
+
+
+def _contracted(edges: DataFrame, rounds: int) -> DataFrame:
+    """Stars ``(a, b)`` in place of the edges: each id that isn't its component's smallest, and that one."""
     edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     edges = written(edges, name="cc")
     before = None
@@ -137,11 +191,6 @@ def components(edges: DataFrame, *, rounds: int = 60) -> DataFrame:
         edges = written(edges, name="cc")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
-            break
+            return edges
         before = now
-    else:
-        raise RuntimeError("components did not converge")
-    roots = edges.select(F.col("b").alias("id")).distinct()
-    return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(
-        roots.select("id", F.col("id").alias("component"))
-    )
+    raise RuntimeError("components did not converge")

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from xxhash import xxh64_intdigest
 
-from .common import map_texts
+from .common import holds, map_texts
 
 WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
@@ -104,6 +104,7 @@ class Model:
 
 
 _CACHES: dict[int, Scorer] = {}
+holds("language", _CACHES.clear)
 
 
 class Scorer(dict):
@@ -179,8 +180,8 @@ def identify(docs: DataFrame, model: Model, *, keep: tuple[str, str] | None = No
         return pa.RecordBatch.from_arrays([*batch.columns, langs, scores], [*batch.schema.names, *(keep or ("lang_pred", "score"))])
 
     if keep:
-        return map_texts(docs, run, StructType([*docs.schema.fields, StructField(keep[0], StringType()), StructField(keep[1], DoubleType())]), column=texts)
+        return map_texts(docs, run, StructType([*docs.schema.fields, StructField(keep[0], StringType()), StructField(keep[1], DoubleType())]), column=texts, name="language")
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), F.col("text").cast("string").alias("text"))
     texts = 2
-    found = map_texts(slim, run, "doc_id long, held_out boolean, text string, lang_pred string, score double", column=2)
+    found = map_texts(slim, run, "doc_id long, held_out boolean, text string, lang_pred string, score double", column=2, name="language")
     return found.select("doc_id", "held_out", "lang_pred", "score")

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, slices, split_join, written
+from .common import components, scratch, slices, split_join, task, written
 
 SHINGLE = 5
 BANDS, ROWS = 26, 5
@@ -46,7 +46,7 @@ STAR_ROUNDS, PAIRS = 6, 4 * BLOCK
 #: The width of a ring around a center, in distance; a little more than a link's greatest one.
 RING = 0.151
 #: Bytes of text hashed at a time; a longer text comes alone.
-HASHED_BYTES = 1 << 20
+HASHED_BYTES = 1 << 19
 
 _random = np.random.default_rng(20240229)
 _BYTE = _random.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -144,25 +144,29 @@ def features(docs: DataFrame) -> DataFrame:
     """Set size, two hashes of the set, sketch and band keys of each document; null where the set is empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in slices(batch, 2, HASHED_BYTES):
-                sizes, hashes, sketches, bands = [], [], [], []
-                for s in shingle_sets(piece.column(2).to_pylist()):
-                    sizes.append(len(s))
-                    if not len(s):
-                        hashes.append((None, None))
-                        sketches.append((None,) * 4)
-                        bands.append(None)
-                        continue
-                    least = samples(s)
-                    h = [int(mix(s ^ _SALT[i]).sum(dtype=np.uint64).view(np.int64)) for i in (0, 1)]
-                    hashes.append(h)
-                    sketches.append(odd_sketch(least).tolist())
-                    bands.append(band_keys(least))
-                yield pa.RecordBatch.from_arrays(
-                    [piece.column(0), piece.column(1), pa.array(sizes, pa.int64()), *(pa.array(c, pa.int64()) for c in (*zip(*hashes), *zip(*sketches))), pa.array(bands, pa.list_(pa.int64()))],
-                    ["doc_id", "text_hash", "n_shingles", "h1", "h2", *SKETCH, "bands"],
-                )
+        with task():
+            for batch in batches:
+                for piece in slices(batch, 2, HASHED_BYTES):
+                    yield of(piece)
+
+    def of(piece: pa.RecordBatch) -> pa.RecordBatch:
+        sizes, hashes, sketches, bands = [], [], [], []
+        for s in shingle_sets(piece.column(2).to_pylist()):
+            sizes.append(len(s))
+            if not len(s):
+                hashes.append((None, None))
+                sketches.append((None,) * 4)
+                bands.append(None)
+                continue
+            least = samples(s)
+            h = [int(mix(s ^ _SALT[i]).sum(dtype=np.uint64).view(np.int64)) for i in (0, 1)]
+            hashes.append(h)
+            sketches.append(odd_sketch(least).tolist())
+            bands.append(band_keys(least))
+        return pa.RecordBatch.from_arrays(
+            [piece.column(0), piece.column(1), pa.array(sizes, pa.int64()), *(pa.array(c, pa.int64()) for c in (*zip(*hashes), *zip(*sketches))), pa.array(bands, pa.list_(pa.int64()))],
+            ["doc_id", "text_hash", "n_shingles", "h1", "h2", *SKETCH, "bands"],
+        )
 
     return keyed(docs).mapInArrow(run, FEATURES)
 
@@ -171,8 +175,8 @@ def full_sets(texts: DataFrame) -> DataFrame:
     """The shingle set of each row of ``texts(doc, text)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in slices(batch, 1, HASHED_BYTES):
+        with task():
+            for piece in (p for batch in batches for p in slices(batch, 1, HASHED_BYTES)):
                 found = [s.view(np.int64) for s in shingle_sets(piece.column(1).to_pylist())]
                 yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(found, pa.list_(pa.int64()))], ["doc", "items"])
 
@@ -307,7 +311,13 @@ def grouped(docs: DataFrame, *, tie_ids: bool) -> tuple[DataFrame, DataFrame]:
     ``doc`` numbers the classes; ``first`` and ``text_hash`` are the key of the row that stands for a class, ``root``
     that ``(first, text_hash)`` of the class that stands for its component. With ``tie_ids`` the classes of one ``doc_id`` are linked.
     """
-    found = written(features(docs), name="features")
+    with scratch(docs.sparkSession):
+        found = written(features(docs), name="features")
+        classes = _grouped(docs, found, tie_ids)
+        return written(found.drop(*SKETCH, "bands"), name="rows", keep=True), written(classes, name="roots", keep=True)
+
+
+def _grouped(docs: DataFrame, found: DataFrame, tie_ids: bool) -> DataFrame:
     usable = found.where("n_shingles > 0 and doc_id is not null")
     classes = usable.groupBy(*CLASS).agg(
         F.min(F.struct("doc_id", "text_hash")).alias("row"), F.count("*").alias("rows"), *(F.min(c).alias(c) for c in SKETCH), F.min("bands").alias("bands")
@@ -328,8 +338,7 @@ def grouped(docs: DataFrame, *, tie_ids: bool) -> tuple[DataFrame, DataFrame]:
     joined = written(comps.withColumnRenamed("id", "doc").join(classes.select("doc", "first", "text_hash"), "doc"), name="joined")
     roots = joined.groupBy("component").agg(F.min(own).alias("root"))
     roots = split_join(joined.select("doc", "component"), roots, ["component"]).select("doc", "root")
-    classes = classes.drop(*SKETCH, "bands").join(roots, "doc", "left").withColumn("root", F.coalesce("root", own))
-    return found, written(classes, name="roots")
+    return classes.drop(*SKETCH, "bands").join(roots, "doc", "left").withColumn("root", F.coalesce("root", own))
 
 
 def with_classes(found: DataFrame, classes: DataFrame) -> DataFrame:

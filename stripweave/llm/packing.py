@@ -26,7 +26,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import slices, written
+from .common import holds, slices, task, written
 
 #: Words that a worker remembers the ids of; further words are encoded each time.
 WORD_CACHE = 150_000
@@ -95,6 +95,7 @@ class UnevenSpace(Exception):
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
+holds("packing", _ENCODERS.clear)
 
 
 def encoder(path: str) -> WordEncoder:
@@ -133,9 +134,10 @@ def pieces(docs: DataFrame, tokenizer: str, *, window: int = WINDOW, carried: tu
 
     def run(batches):
         state: dict = {"seen": {}}
-        for batch in batches:
-            for piece in slices(batch, 1):
-                yield cut(state, piece)
+        with task("packing"):
+            for batch in batches:
+                for piece in slices(batch, 1):
+                    yield cut(state, piece)
 
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part long, nth long" + "".join(f", {c} long" for c in carried)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carried).mapInArrow(run, schema)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import quoted, slices, split_join, written
+from .common import holds, quoted, slices, split_join, task, written
 from .neardup import keyed, mix
 
 #: A run begins at a word whose hash is the least of so many before and after it: each 11 words or so.
@@ -56,6 +56,9 @@ def characters() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return part, space, mix((lower.astype(np.uint64) + np.uint64(1)) * _WORD)
 
 
+holds("repeats", characters.cache_clear)
+
+
 def powers(base: np.uint64, n: int) -> np.ndarray:
     out = np.full(n, base, np.uint64)
     out[:1] = 1
@@ -156,8 +159,8 @@ def unit_table(docs: DataFrame, least: Least = Least()) -> DataFrame:
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in slices(batch, 2, READ_BYTES):
+        with task("repeats"):
+            for piece in (p for batch in batches for p in slices(batch, 2, READ_BYTES)):
                 found = units([t or "" for t in piece.column(2).to_pylist()], least)
                 at = pa.array(found["text"])
                 columns = [piece.column(0).take(at), piece.column(1).take(at), *(pa.array(found[c]).cast(k) for c, k in zip(names[2:], kinds[2:]))]
