@@ -62,19 +62,21 @@ def position(candidates: DataFrame, used: DataFrame) -> DataFrame:
     groups before it can't take more.
     """
     free = candidates.join(used.select("pair_key", "bag_id").distinct(), ["pair_key", "bag_id"], "left_anti")
-    groups = F.size(F.collect_set("label_group").over(Window.partitionBy("pair_key")))
+    pair = Window.partitionBy("pair_key")
     nearest = F.row_number().over(Window.partitionBy("pair_key", "label_group").orderBy("distance", "bag_id"))
-    free = free.withColumns({"nearest": nearest, "groups": groups}).where(F.col("nearest") <= F.col("groups"))
+    free = free.withColumns({"nearest": nearest, "nth": F.dense_rank().over(pair.orderBy("label_group"))})
+    free = free.withColumn("groups", F.max("nth").over(pair)).where(F.col("nearest") <= F.col("groups"))
 
     def choose(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = pdf.sort_values(["label_group", "distance", "bag_id"], ignore_index=True)
         taken: set[int] = set()
-        out = []
-        for group, rows in pdf.sort_values(["label_group", "distance", "bag_id"]).groupby("label_group", sort=True):
-            bag = next(((r.bag_id, r.distance) for r in rows.itertuples() if r.bag_id not in taken), None)
-            if bag is not None:
-                taken.add(bag[0])
-                out.append((pdf["pair_key"].iloc[0], group, bag[0], bag[1]))
-        return pd.DataFrame(out, columns=["pair_key", "label_group", "bag_id", "distance"])
+        served, chosen = None, []
+        for i, (group, bag) in enumerate(zip(rows["label_group"].tolist(), rows["bag_id"].tolist())):
+            if group != served and bag not in taken:
+                taken.add(bag)
+                served = group
+                chosen.append(i)
+        return rows.iloc[chosen][["pair_key", "label_group", "bag_id", "distance"]]
 
     kind = dict(candidates.dtypes)["pair_key"]
     return free.select("pair_key", "label_group", "bag_id", "distance").groupBy("pair_key").applyInPandas(choose, f"pair_key {kind}, label_group int, bag_id long, distance double")
