@@ -36,8 +36,11 @@ def key_id(*columns: Column | str) -> Column:
     return F.xxhash64(*columns)
 
 
-def build_dataset(catalog: Catalog, video_info: DataFrame, frame_metrics: DataFrame, bag_crops: DataFrame, ocr_payloads: DataFrame, settings: Settings = DEFAULTS, *, allow_unknown: bool = False) -> DataFrame:
-    """Process the recordings that aren't completed yet, then match all pairs; returns the run's counts."""
+def build_dataset(catalog: Catalog, video_info: DataFrame, frame_metrics: DataFrame, bag_crops: DataFrame, ocr_payloads: DataFrame, settings: Settings = DEFAULTS, *, allow_unknown: bool = False, read_sides: tuple[str, ...] | None = None) -> DataFrame:
+    """Process the recordings that aren't completed yet, then match all pairs; returns the run's counts.
+
+    With ``read_sides`` only the payloads of those sides are read.
+    """
     found = video_info.withColumn("stem", readers.stem(F.col("filename"))).withColumn("side", readers.side_of(F.col("stem"), settings.video_sides))
     if not allow_unknown and (missing := readers.unknown_sides(found, settings.video_sides)):
         raise UnknownSides(f"no side for: {', '.join(missing)}")
@@ -60,15 +63,17 @@ def build_dataset(catalog: Catalog, video_info: DataFrame, frame_metrics: DataFr
     bags = bags.withColumn("is_track_best", F.col("bag_id") == F.col("best_bag_id")).drop("best_bag_id", "profile", "bands", "descriptor")
     catalog.upsert("bags", bags, ["frame_id", "bag_index_in_frame"])
     catalog.upsert("bag_tracks", tracks, ["track_key"])
-    read_labels(catalog, ocr_payloads, settings)
+    read_labels(catalog, ocr_payloads, settings, sides=read_sides)
     catalog.upsert("videos", todo.withColumn("status", F.lit("completed")), ["filename"])
     rebuild_pairs(catalog, settings)
     return run_summary(catalog)
 
 
-def read_labels(catalog: Catalog, ocr_payloads: DataFrame, settings: Settings = DEFAULTS) -> None:
+def read_labels(catalog: Catalog, ocr_payloads: DataFrame, settings: Settings = DEFAULTS, *, sides: tuple[str, ...] | None = None) -> None:
     """The readers' payloads as readings, headers and items of the bags they belong to."""
-    bags = catalog.read("bags").select("filename", "frame_index", "bag_index_in_frame", "bag_id", "seam_positions")
+    bags = catalog.read("bags")
+    bags = bags if sides is None else bags.where(F.col("side").isin(*sides))
+    bags = bags.select("filename", "frame_index", "bag_index_in_frame", "bag_id", "seam_positions")
     read = ocr_payloads.join(bags, ["filename", "frame_index", "bag_index_in_frame"])
     boxes = readers.boxes_of(read.select(F.col("bag_id").alias("image_id"), "payload"))
     rows = sheets.rows_of_boxes(boxes, settings=settings)

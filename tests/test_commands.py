@@ -49,6 +49,14 @@ def test_unknown_side_stops_the_run(spark, tmp_path):
         commands.build_dataset(Catalog(spark, str(tmp_path)), *inputs(spark), DEFAULTS)
 
 
+def test_only_the_sides_asked_for_are_read(spark, tmp_path):
+    out = Catalog(spark, str(tmp_path / "one_side"))
+    summary = {r.table_name: r.n for r in commands.build_dataset(out, *inputs(spark), SETTINGS, read_sides=("label_side",)).collect()}
+    assert summary["bags"] == 12 and summary["ocr_results"] == 4
+    sides = out.read("ocr_results").join(out.read("bags").select("bag_id", "side"), "bag_id").select("side").distinct().collect()
+    assert [r.side for r in sides] == ["label_side"]
+
+
 def test_tiers(catalog):
     rows = {r.order_index: r for r in catalog.read("track_pairs").collect()}
     assert sorted(rows) == list(range(len(rows)))
