@@ -84,6 +84,11 @@ def json_documents(spark: SparkSession, path: str, schema: str | None = None) ->
     return (reader.schema(schema) if schema else reader).json(path)
 
 
+def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """What ``sinks.write_json`` wrote, with the columns of its folders; a line that is no JSON is an error."""
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+
+
 def csv_rows(spark: SparkSession, path: str) -> DataFrame:
     """A CSV with a header, all text, a byte order mark taken off its first name."""
     rows = spark.read.option("header", "true").option("encoding", "UTF-8").csv(path)

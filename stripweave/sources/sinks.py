@@ -42,10 +42,15 @@ def update(rows: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
     return joined.select(*(F.coalesce(f"_new_{c}", c).alias(c) if c in changed else F.col(c) for c in rows.columns))
 
 
+def shared_folder(spark: SparkSession) -> str | None:
+    """The folder that driver and executors share for what is written on the way, if one is set."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+
+
 def settled(rows: DataFrame) -> DataFrame:
     """A table that several branches of a plan read, made once: in the checkpoint folder where one is set, else kept."""
     spark = rows.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    folder = shared_folder(spark)
     if not folder:
         return rows.persist()
     path = f"{folder.rstrip('/')}/stripweave-settled-{uuid.uuid4().hex}"
@@ -69,7 +74,11 @@ def concatenated(*parts: DataFrame) -> DataFrame:
 
 
 class Catalog:
-    """Tables as Parquet folders below one root; a replaced table's new folder is complete before it is named."""
+    """Tables as Parquet folders below one root, a folder for each version; one writer a table at a time.
+
+    A version counts once its job's mark of success is there, the last thing that a job writes. So a writer that is lost
+    at any point leaves the table as it was, and nothing is renamed. The version before stays for plans that still read it.
+    """
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, root.rstrip("/")
@@ -79,22 +88,32 @@ class Catalog:
         path = jvm.org.apache.hadoop.fs.Path(self.root)
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
 
-    def exists(self, name: str) -> bool:
+    def _versions(self, name: str) -> tuple[list[str], list[str]]:
+        """The folders of complete versions, in order, and of those that never were completed."""
         fs, path = self._fs()
-        return fs.exists(path(f"{self.root}/{name}"))
+        folder = path(f"{self.root}/{name}")
+        found = sorted(x.getPath().getName() for x in fs.listStatus(folder)) if fs.exists(folder) else []
+        done = [x for x in found if fs.exists(path(f"{self.root}/{name}/{x}/_SUCCESS"))]
+        return done, [x for x in found if x not in done]
+
+    def exists(self, name: str) -> bool:
+        return bool(self._versions(name)[0])
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.option("mergeSchema", "true").parquet(f"{self.root}/{name}")
+        done, _ = self._versions(name)
+        if not done:
+            raise LookupError(f"no table {name} in {self.root}")
+        return self.spark.read.parquet(f"{self.root}/{name}/{done[-1]}")
 
     def write(self, name: str, rows: DataFrame) -> None:
-        """Write beside the table, then swap the folders."""
+        """Write the next version, then delete those before the last one and what lost writers left."""
         fs, path = self._fs()
-        fresh, gone = (f"{self.root}/.{name}-{uuid.uuid4().hex}" for _ in range(2))
-        rows.write.parquet(fresh)
-        if self.exists(name):
-            fs.rename(path(f"{self.root}/{name}"), path(gone))
-        fs.rename(path(fresh), path(f"{self.root}/{name}"))
-        fs.delete(path(gone), True)
+        done, lost = self._versions(name)
+        number = int(done[-1].split("-")[1]) + 1 if done else 0
+        marked = rows.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
+        marked.parquet(f"{self.root}/{name}/version-{number:010d}-{uuid.uuid4().hex}")
+        for old in [*done[:-1], *lost]:
+            fs.delete(path(f"{self.root}/{name}/{old}"), True)
 
     def upsert(self, name: str, rows: DataFrame, keys: list[str]) -> None:
         self.write(name, upsert(self.read(name), rows, keys) if self.exists(name) else upsert(rows.limit(0), rows, keys))

@@ -296,6 +296,14 @@ def test_sources_and_sinks(spark, tmp_path):
     assert sorted(map(tuple, catalog.read("t").collect())) == [(1, "a", None), (2, "c", 1), (3, "e", 2)]
     catalog.replace_sets("t", spark.createDataFrame([(1, "z", 9)], "k long, v string, w int"), ["k"])
     assert (1, "z", 9) in map(tuple, catalog.read("t").collect()) and not [p for p in (tmp_path / "cat").iterdir() if p.name.startswith(".t")]
+    (tmp_path / "cat" / "t" / "version-9999999999-lost").mkdir()  # a writer that was lost before its end
+    assert catalog.read("t").count() == 3
+    before = catalog.read("t")
+    catalog.write("t", catalog.read("t"))
+    assert before.count() == 3 and len(list((tmp_path / "cat" / "t").iterdir())) == 2
+    assert not catalog.exists("none")
+    with pytest.raises(LookupError):
+        catalog.read("none")
     catalog.register("t")
     assert readers.ad_hoc(spark, "SELECT count(*) AS n FROM t WHERE k > :k", k=1).first().n == 2
     old = spark.createDataFrame([(1, 2)], "k long, line_index int")
