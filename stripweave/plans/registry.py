@@ -29,4 +29,4 @@ def register(name: str, sql: str | None = None):
     return wrap
 
 
-from . import labels, matching, relational, scores  # noqa: E402, F401
+from . import files, labels, matching, relational, scores  # noqa: E402, F401
