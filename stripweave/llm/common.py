@@ -156,7 +156,7 @@ def components(edges: DataFrame, *, rounds: int = 60) -> DataFrame:
     """Connected components of ``edges(a, b)``: rows ``(id, component)``, component the smallest id.
 
     Alternating large-star and small-star steps, which need O(log^2 n) rounds and emit
-    at most as many edges as they get. Each step aggregates a minimum per node before
+    at most as many edges as they get, until all that is left is stars. Each step aggregates a minimum per node before
     it joins, and the join of a node with very many edges is split.
     Ids in no edge are not returned; loops and nulls are ignored.
     """
@@ -172,8 +172,9 @@ def _contracted(edges: DataFrame, rounds: int) -> DataFrame:
     """Stars ``(a, b)`` in place of the edges: each id that isn't its component's smallest, and that one."""
     edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     edges = written(edges, name="cc")
-    before = None
     for _ in range(rounds):
+        if are_stars(edges):
+            return edges
         # Large star: every larger neighbour of a node goes to the smallest of its neighbourhood.
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.min("a")).alias("m"))
@@ -189,8 +190,13 @@ def _contracted(edges: DataFrame, rounds: int) -> DataFrame:
             .distinct()
         )
         edges = written(edges, name="cc")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == before:
-            return edges
-        before = now
+    if are_stars(edges):
+        return edges
     raise RuntimeError("components did not converge")
+
+
+def are_stars(edges: DataFrame) -> bool:
+    """Whether the edges ``(a, b)``, distinct and ``a > b``, have each ``a`` once, and none of them as a ``b``."""
+    ends = edges.select(F.col("a").alias("id"), F.lit(1).alias("below"), F.lit(0).alias("above")).unionByName(edges.select(F.col("b").alias("id"), F.lit(0).alias("below"), F.lit(1).alias("above")))
+    others = ends.groupBy("id").agg(F.sum("below").alias("below"), F.max("above").alias("above")).where("below > 1 or (below = 1 and above = 1)")
+    return not others.agg(F.count("*")).first()[0]

@@ -408,7 +408,10 @@ def confirmed(docs: DataFrame, classes: DataFrame, repeated: bool) -> DataFrame:
 
     links = written(verified(pairs), name="links")
     for number in range(STAR_ROUNDS + 1):
-        comps = components(links).withColumnRenamed("id", "doc")
+        found = components(links)
+        # Stars stand for the links so far: they connect the same classes.
+        links = found.where("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b"))
+        comps = found.withColumnRenamed("id", "doc")
         members = shared.where("members > 2").select("key", "doc").join(comps.hint("merge"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
         members = written(members, name="members")
         buckets = written(open_buckets(members), name="open")
