@@ -135,10 +135,11 @@ def optimal_assignment(t):
 def assignment_total(t):
     """The greatest total score of images of two pills, which brute force over pairs of units can tell."""
     image = F.floor(F.col("event_id") / 2)
-    pills = t("events").select(image.alias("image_id"), F.col("event_id").alias("pill_id"), F.when(F.col("event_type") == "view", "blanco").otherwise("azul").alias("color"), F.lit("redondo").alias("shape"))
-    named = looks(t).withColumns({"bucket": F.col("p_partkey") % 100, "drug": F.concat_ws("-", "drug", "p_partkey")})
-    named = pills.select("image_id", (F.col("image_id") % 100).alias("bucket")).distinct().join(named, "bucket")
-    found = identify.assign(identify.best_scores(pills, named.select("image_id", "drug", "presentation", "description", "rank")), named.select("image_id", "drug", (F.col("rank") % 3 + 1).alias("quantity")))
+    pills = t("events").select(image.alias("image_id"), (image % 100).alias("list_id"), F.col("event_id").alias("pill_id"), F.when(F.col("event_type") == "view", "blanco").otherwise("azul").alias("color"), F.lit("redondo").alias("shape"))
+    named = looks(t).withColumns({"list_id": F.col("p_partkey") % 100, "drug": F.concat_ws("-", "drug", "p_partkey")})
+    expected = named.select("list_id", "drug", (F.col("rank") % 3 + 1).alias("quantity"))
+    known = pills.join(named.select("list_id").distinct(), "list_id", "left_semi")
+    found = identify.assign_listed(known, named.select("list_id", "drug", "presentation", "description", "rank"), expected)
     return found.groupBy("image_id").agg(F.sum(F.coalesce("score", F.lit(0))).alias("total"))
 
 

@@ -1,4 +1,6 @@
 import datetime
+import random
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -239,6 +241,33 @@ def test_identification(spark):
     assert [r.drug for r in identify.ranking(scores).where("pill_id = 1").orderBy("rank").collect()] == ["B", "A", "C"]
 
 
+def test_assignment_of_images_that_share_lists(spark):
+    """Totals and units are those of each image by itself, whose list is its own."""
+    draw = random.Random(5)
+    colors, shapes = ("blanco", "rosa", "azul", None), ("redondo", "ovalado")
+    pills = [(image, draw.randrange(6), 100 * image + p, draw.choice(colors), draw.choice(shapes)) for image in range(60) for p in range(draw.randint(1, 4))]
+    of = {p[0]: p[1] for p in pills}
+    pills = [(p[0], of[p[0]], *p[2:]) for p in pills]  # list 4 has looks but expects nothing, list 5 has fewer units than pills
+    looks = [(n, f"D{d:02}", f"{d}-{k}", draw.choice(("blanco redondo", "rosa", "capsula azul", "ovalado", "")), k) for n in range(5) for d in range(9) for k in range(draw.randint(1, 2))] + [(5, "D00", "", "rosa", 0)]
+    expected = [(n, f"D{d:02}", draw.choice((0, 1, 2, 3))) for n in range(4) for d in range(12)] + [(5, "D00", 2)]  # three drugs have no looks
+    quantity = {(n, d): q for n, d, q in expected}
+    p = spark.createDataFrame(pills, "image_id long, list_id int, pill_id long, color string, shape string")
+    k = spark.createDataFrame(looks, "list_id int, drug string, presentation string, description string, rank int")
+    e = spark.createDataFrame(expected, "list_id int, drug string, quantity int")
+    lists = p.select("image_id", "list_id").distinct()
+    own = identify.best_scores(p.drop("list_id"), lists.join(k, "list_id").drop("list_id"))
+    score = {(r.pill_id, r.drug): r.score for r in own.collect()}
+    alone = identify.assign(own, lists.join(e, "list_id").drop("list_id")).where("pill_id is not null").collect()
+    found = identify.assign_listed(p, k, e).collect()
+    assert sorted((r.image_id, r.pill_id) for r in found) == sorted((r.image_id, r.pill_id) for r in alone) == sorted((x[0], x[2]) for x in pills)
+    total = lambda rows: Counter({i: sum(r.score or 0 for r in rows if r.image_id == i) for i in of})
+    surplus = lambda rows: Counter(r.image_id for r in rows if r.drug is None)
+    assert total(found) == total(alone) and surplus(found) == surplus(alone) and len(surplus(found)) > 9
+    assert all(r.score == score.get((r.pill_id, r.drug), 0) for r in found if r.drug is not None)
+    used = Counter((r.image_id, r.drug) for r in found if r.drug is not None)
+    assert all(n <= quantity[of[i], d] for (i, d), n in used.items())
+
+
 def test_presentations(spark):
     registry = spark.createDataFrame([("1", "ALFA 20 MG", "ALFA", True), ("2", "OTRO ALFA", "ALFA", True), ("3", "ALFA VIEJO", "ALFA", False), ("4", "DUO", "BETA", True), ("4", "DUO", "GAMMA", True), ("5", "SOLO", "BETA", True)], "nregistro string, name string, ingredient string, marketed boolean")
     drugs = spark.createDataFrame([("alfa",), ("beta/gamma",), ("beta/nada",)], "drug string")

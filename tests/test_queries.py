@@ -7,6 +7,7 @@ from decimal import Decimal
 import duckdb
 import pytest
 
+from stripweave.operators import identify
 from stripweave.plans import registry
 from stripweave.plans.tables import BASE
 
@@ -44,6 +45,21 @@ def test_without_oracle(spark, name):
     assert found.count() > 0 or name in ("review_sample",)
 
 
+def test_assignment_does_not_copy_lists_to_images(spark, duck, tmp_path, monkeypatch):
+    """With 20 times the parts, rows that are assigned don't grow with images times parts."""
+    for name, columns in (("part", "* REPLACE (p_partkey + r * 1000 AS p_partkey)"), ("events", "*")):
+        duck.execute(f"COPY (SELECT {columns} FROM {name}, range({20 if name == 'part' else 1}) AS q(r)) TO '{tmp_path}/{name}.parquet'")
+    sent, assign = [], identify.assign
+    monkeypatch.setattr(identify, "assign", lambda scores, expected: sent.extend((scores.count(), expected.count())) or assign(scores, expected))
+    found = registry.QUERIES["assignment_total"](spark, str(tmp_path))
+    with duckdb.connect() as large:
+        for name in ("part", "events"):
+            large.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet'")
+        want = large.execute(f"SELECT image_id, total FROM ({registry.ORACLES['assignment_total']})").fetchall()
+    assert Counter((r.image_id, r.total) for r in found.collect()) == Counter(want)
+    assert max(sent) < 4 * len(want)  # the list of each image has 40 parts
+
+
 def test_each_photo_is_used_once(spark):
     found = registry.QUERIES["full_match_pipeline"](spark, SMALL).where("match_tier in ('direct', 'position')")
     assert found.groupBy("pair_key", "pill_bag").count().where("count > 1 and pill_bag is not null").count() == 0
